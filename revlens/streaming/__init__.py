@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+Every read in the analyses and jobs this engine covers is a batch read of
+parquet; there is no stream source, watermark, window or state to rebuild.
+The package exists so the layout stays uniform.
+"""
