@@ -98,8 +98,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_purchases": _purchases,
         "neighbour_edges": _edges,
         "neighbour_lists": lambda s, d: _lists(s, d, ordered=True),
-        "user_triple_counts_as_written": lambda s, d: triples.user_triple_counts(_lists(s, d), "as_written"),
-        "user_triple_counts_documented": lambda s, d: triples.user_triple_counts(_lists(s, d), "documented"),
+        "user_triple_counts_as_written": lambda s, d: triples.user_triple_counts_from_edges(_edges(s, d), "as_written"),
+        "user_triple_counts_documented": lambda s, d: triples.user_triple_counts_from_edges(_edges(s, d), "documented"),
         "build_training_set": _training_set,
     }
 

@@ -28,7 +28,7 @@ from revlens.operators.stats import (
     reviews_share_by_category,
     star_share_by_marketplace,
 )
-from revlens.operators.triples import user_triple_counts, user_triples
+from revlens.operators.triples import user_triple_counts, user_triple_counts_from_edges, user_triples
 
 __all__ = [
     "common_customer_pairs",
@@ -51,5 +51,6 @@ __all__ = [
     "reviews_share_by_category",
     "star_share_by_marketplace",
     "user_triple_counts",
+    "user_triple_counts_from_edges",
     "user_triples",
 ]

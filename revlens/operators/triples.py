@@ -71,6 +71,25 @@ def user_triples(lists: DataFrame, mode: str = "documented") -> DataFrame:
     )
 
 
+def _factorised_counts(pairs: DataFrame, users: DataFrame, excluded: DataFrame | None) -> DataFrame:
+    """Counts per (user, positive) from the positive pairs, the users, and
+    (documented mode) the number of neighbours each user excludes."""
+    n_users = users.select(F.count(F.lit(1))).scalar()
+    pos = pairs.groupBy("user_id", "positive_user_id").agg(F.count(F.lit(1)).alias("n_positive"))
+    n_negative = n_users - F.lit(1)
+    if excluded is not None:
+        pos = pos.join(excluded, "user_id", "left")
+        n_negative = n_negative - F.coalesce(F.col("n_excluded"), F.lit(0))
+    n_negative = n_negative.cast("long")
+    return pos.select(
+        "user_id",
+        "positive_user_id",
+        "n_positive",
+        n_negative.alias("n_negative"),
+        (F.col("n_positive") * n_negative).alias("n_triples"),
+    )
+
+
 def user_triple_counts(lists: DataFrame, mode: str = "documented") -> DataFrame:
     """Q17/Q18 factorised: one row per (user, positive) with exact counts.
 
@@ -81,18 +100,29 @@ def user_triple_counts(lists: DataFrame, mode: str = "documented") -> DataFrame:
     the work is linear in the list elements.
     """
     _check_mode(mode)
-    n_users = _users(lists).select(F.count(F.lit(1))).scalar()
-    pos = _positives(lists).groupBy("user_id", "positive_user_id").agg(F.count(F.lit(1)).alias("n_positive"))
-    n_negative = n_users - F.lit(1)
+    excluded = None
     if mode == "documented":
         excluded = _distinct_neighbours(lists).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_excluded"))
-        pos = pos.join(excluded, "user_id", "left")
-        n_negative = n_negative - F.coalesce(F.col("n_excluded"), F.lit(0))
-    n_negative = n_negative.cast("long")
-    return pos.select(
-        "user_id",
-        "positive_user_id",
-        "n_positive",
-        n_negative.alias("n_negative"),
-        (F.col("n_positive") * n_negative).alias("n_triples"),
+    return _factorised_counts(_positives(lists), _users(lists), excluded)
+
+
+def user_triple_counts_from_edges(edges: DataFrame, mode: str = "documented") -> DataFrame:
+    """:func:`user_triple_counts` of ``neighbour_lists(edges)``, without the lists.
+
+    Edges are symmetric and never link a customer to itself, so the users are
+    the edge customers and a user's excluded neighbours are its distinct
+    neighbours. The (user, neighbour) pairs are pre-aggregated on the map side
+    instead of being collected into lists and exploded again.
+    """
+    _check_mode(mode)
+    pairs = edges.select(
+        F.col("customer_id").alias("user_id"), F.col("neighbour_customer_id").alias("positive_user_id")
+    )
+    per_user = (
+        pairs.groupBy("user_id", "positive_user_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("user_id")
+        .agg(F.count(F.lit(1)).alias("n_excluded"))
     )
+    excluded = per_user if mode == "documented" else None
+    return _factorised_counts(pairs, per_user.select("user_id"), excluded)
