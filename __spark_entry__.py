@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from revlens.operators import customers, neighbours, stats, triples
 from revlens.plans.session import checkpoint_dir
 from revlens.plans.training_set import stage_common_customers, stage_neighbours, stage_triples
-from revlens.sources.driver_view import driver_reviews
+from revlens.sources.driver_view import REVIEW_COLUMNS, driver_reviews
 from revlens.sources.readers import read_neighbour_lists, split_categories
 from revlens.sources.schemas import BOOKS, MUSIC
 from revlens.sources.sinks import write_parquet
@@ -60,10 +60,12 @@ def _training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q19 end to end: stages 1-3 through parquet, read back from stage 3.
 
     Review files per category are written first (the job's input layout), in
-    the shared checkpoint folder; stage 3 writes the exact factorised triples.
+    the shared checkpoint folder, with every review column but the body, which
+    the job never reads; stage 3 writes the exact factorised triples.
     """
     base = f"{checkpoint_dir(spark, '/tmp/revlens-checkpoints').rstrip('/')}/revlens-training-set-{uuid.uuid4().hex}"
-    books, music = split_categories(driver_reviews(spark, sf_dir))
+    columns = [c for c in REVIEW_COLUMNS if c != "review_body"]
+    books, music = split_categories(driver_reviews(spark, sf_dir, columns))
     write_parquet(books.drop("productCategory"), f"{base}/reviews/{BOOKS}")
     write_parquet(music.drop("productCategory"), f"{base}/reviews/{MUSIC}")
     first = stage_common_customers(spark, f"{base}/reviews/{BOOKS}", f"{base}/reviews/{MUSIC}", f"{base}/out")

@@ -16,7 +16,7 @@ negatives), which is linear in the edges and exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODES = ("documented", "as_written")
@@ -71,11 +71,13 @@ def user_triples(lists: DataFrame, mode: str = "documented") -> DataFrame:
     )
 
 
-def _factorised_counts(pairs: DataFrame, users: DataFrame, excluded: DataFrame | None) -> DataFrame:
-    """Counts per (user, positive) from the positive pairs, the users, and
-    (documented mode) the number of neighbours each user excludes."""
-    n_users = users.select(F.count(F.lit(1))).scalar()
-    pos = pairs.groupBy("user_id", "positive_user_id").agg(F.count(F.lit(1)).alias("n_positive"))
+def _positive_counts(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("user_id", "positive_user_id").agg(F.count(F.lit(1)).alias("n_positive"))
+
+
+def _factorised_counts(pos: DataFrame, n_users: Column, excluded: DataFrame | None) -> DataFrame:
+    """Counts per (user, positive) from the positive counts, the user total,
+    and (documented mode) the number of neighbours each user excludes."""
     n_negative = n_users - F.lit(1)
     if excluded is not None:
         pos = pos.join(excluded, "user_id", "left")
@@ -96,33 +98,40 @@ def user_triple_counts(lists: DataFrame, mode: str = "documented") -> DataFrame:
     ``n_positive`` is how often the positive occurs in the user's list,
     ``n_negative`` how many negatives the user has, ``n_triples`` their
     product: the number of triples with this user and positive. The user total
-    is a scalar subquery (one number), the per-user exclusions an aggregate, so
-    the work is linear in the list elements.
+    is a scalar subquery over the list rows (one number). A user excludes its
+    distinct neighbours that are other users: those are the (user, positive)
+    rows themselves, semi-joined with the users, so the lists are exploded and
+    aggregated once. The work is linear in the list elements.
     """
     _check_mode(mode)
+    pos = _positive_counts(_positives(lists))
+    n_users = _users(lists).select(F.count(F.lit(1))).scalar()
     excluded = None
     if mode == "documented":
-        excluded = _distinct_neighbours(lists).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_excluded"))
-    return _factorised_counts(_positives(lists), _users(lists), excluded)
+        users = _users(lists).select(F.col("user_id").alias("positive_user_id"))
+        excluded = (
+            pos.where(F.col("user_id") != F.col("positive_user_id"))
+            .join(users, "positive_user_id", "left_semi")
+            .groupBy("user_id")
+            .agg(F.count(F.lit(1)).alias("n_excluded"))
+        )
+    return _factorised_counts(pos, n_users, excluded)
 
 
 def user_triple_counts_from_edges(edges: DataFrame, mode: str = "documented") -> DataFrame:
     """:func:`user_triple_counts` of ``neighbour_lists(edges)``, without the lists.
 
     Edges are symmetric and never link a customer to itself, so the users are
-    the edge customers and a user's excluded neighbours are its distinct
-    neighbours. The (user, neighbour) pairs are pre-aggregated on the map side
-    instead of being collected into lists and exploded again.
+    the edge customers and a user's excluded neighbours are all its distinct
+    neighbours: one row of the (user, positive) counts each. The pairs are
+    aggregated on the map side instead of being collected into lists and
+    exploded again.
     """
     _check_mode(mode)
     pairs = edges.select(
         F.col("customer_id").alias("user_id"), F.col("neighbour_customer_id").alias("positive_user_id")
     )
-    per_user = (
-        pairs.groupBy("user_id", "positive_user_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("n_excluded"))
-    )
-    excluded = per_user if mode == "documented" else None
-    return _factorised_counts(pairs, per_user.select("user_id"), excluded)
+    pos = _positive_counts(pairs)
+    per_user = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_excluded"))
+    n_users = per_user.select(F.count(F.lit(1))).scalar()
+    return _factorised_counts(pos, n_users, per_user if mode == "documented" else None)

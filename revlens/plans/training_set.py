@@ -23,7 +23,7 @@ from revlens.operators.customers import (
 )
 from revlens.operators.neighbours import neighbour_edges, neighbour_lists
 from revlens.operators.triples import user_triple_counts, user_triples
-from revlens.sources.readers import read_neighbour_lists, read_pairs, read_reviews
+from revlens.sources.readers import read_neighbour_lists, read_pairs, read_reviews, spread_if_narrow
 from revlens.sources.sinks import write_parquet
 
 log = logging.getLogger(__name__)
@@ -82,7 +82,7 @@ def stage_neighbours(
     spark: SparkSession, pairs_path: str, out_dir: str, lists_files: int | None = None
 ) -> StageResult:
     """Stage 2: purchases from the staged pairs, neighbour edges, lists."""
-    pairs = read_pairs(spark, pairs_path)
+    pairs = spread_if_narrow(read_pairs(spark, pairs_path))
     lists = neighbour_lists(neighbour_edges(customer_purchases_from_pairs(pairs)))
     result = StageResult()
     _write_counted(lists, _join(out_dir, LISTS_DIR), "lists", lists_files, result)
@@ -102,7 +102,7 @@ def stage_triples(
     The expanded bag is quadratic in the number of users; the counts are
     linear and carry the same information together with the lists.
     """
-    lists = read_neighbour_lists(spark, lists_path)
+    lists = spread_if_narrow(read_neighbour_lists(spark, lists_path))
     result = StageResult()
     if expand:
         _write_counted(user_triples(lists, mode), _join(out_dir, TRIPLES_DIR), "triples", triples_files, result)

@@ -15,6 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.sources.readers import spread_if_narrow
 from revlens.sources.schemas import BOOKS, CATEGORY_COL, MUSIC, REVIEW_SCHEMA
 
 # Part types that make up each category.
@@ -53,8 +54,10 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
             F.when(F.col("p_type").isin(*BOOK_TYPES), F.lit(BOOKS)).otherwise(F.lit(MUSIC)).alias(CATEGORY_COL),
         )
     )
-    lines = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
+    lines = spread_if_narrow(
+        _table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
+        )
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
 
