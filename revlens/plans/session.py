@@ -51,15 +51,20 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins; ``fallback`` is set only when it is unset
-    (local tests), and then registered with the SparkContext.
+    The cluster's setting wins. ``fallback`` is used only when no folder is
+    configured (local tests): it is registered with the SparkContext, since
+    the setting itself cannot change on a running session.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    registered = sc._jsc.sc().getCheckpointDir()
+    if registered.isDefined():
+        return registered.get()
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
+    if "://" not in fallback:
+        os.makedirs(fallback, exist_ok=True)
+    sc.setCheckpointDir(fallback)
     return fallback
