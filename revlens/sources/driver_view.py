@@ -61,13 +61,11 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
 
-    rev = lines.join(part, lines.l_partkey == part.p_partkey, "inner")
-    rev = rev.join(orders, rev.l_orderkey == orders.o_orderkey, "left")
-
     marketplace = F.lit(None).cast("string")
     if wanted & _NEEDS_CUSTOMER_DIM:
-        # customer -> nation -> region is a dimension chain; join it once on
-        # the small side, then look the marketplace up by customer key.
+        # customer -> nation -> region is a dimension chain; it is joined to
+        # the orders (a quarter of the line rows) on the customer key, so the
+        # line stream is shuffled by the order key only.
         customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
         region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -76,9 +74,14 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
             .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
             .select("c_custkey", "r_name")
         )
-        rev = rev.join(market, rev.o_custkey == market.c_custkey, "left")
+        orders = orders.join(market, orders.o_custkey == market.c_custkey, "left").select(
+            "o_orderkey", "o_custkey", "r_name"
+        )
         marketplace = F.col("r_name")
 
+    rev = lines.join(part, lines.l_partkey == part.p_partkey, "inner")
+    rev = rev.join(orders, rev.l_orderkey == orders.o_orderkey, "left")
+
     body = F.lit(None).cast("string")
     if wanted & _NEEDS_DOCUMENTS:
         # Only doc ids in (-200, 200) can match ``l_partkey % 200``: the range
