@@ -141,3 +141,44 @@ def build_training_set(
         result.paths.update(stage.paths)
         result.rows.update(stage.rows)
     return result
+
+
+def main(argv: list[str] | None = None) -> StageResult:
+    """Command line for spark-submit: run one stage or all three.
+
+    ``spark-submit --py-files revlens.zip revlens/plans/training_set.py all --books B --music M --out O``
+    (or ``python -m revlens.plans.training_set ...`` against a configured master).
+    Thresholds arrive as strings, as job launchers pass them.
+    """
+    import argparse
+
+    parser = argparse.ArgumentParser(prog="revlens.plans.training_set")
+    parser.add_argument("stage", choices=["all", "common-customers", "neighbours", "triples"])
+    parser.add_argument("--books", help="Books review parquet (stage 1)")
+    parser.add_argument("--music", help="Music review parquet (stage 1)")
+    parser.add_argument("--source", help="input of stage 2 (pairs) or stage 3 (lists)")
+    parser.add_argument("--out", required=True, help="output folder")
+    parser.add_argument("--more-than-books", default="4")
+    parser.add_argument("--more-than-music", default="5")
+    parser.add_argument("--mode", default="documented", choices=["documented", "as_written"])
+    parser.add_argument("--counts-only", action="store_true", help="stage 3 writes factorised counts")
+    args = parser.parse_args(argv)
+
+    spark = SparkSession.builder.appName(f"revlens-training-set-{args.stage}").getOrCreate()
+    if args.stage == "all":
+        return build_training_set(
+            spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music,
+            args.mode, expand=not args.counts_only,
+        )
+    if args.stage == "common-customers":
+        return stage_common_customers(
+            spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music
+        )
+    if args.stage == "neighbours":
+        return stage_neighbours(spark, args.source, args.out)
+    return stage_triples(spark, args.source, args.out, args.mode, expand=not args.counts_only)
+
+
+if __name__ == "__main__":
+    logging.basicConfig(level=logging.INFO)
+    main()
