@@ -34,23 +34,12 @@ def _users(lists: DataFrame) -> DataFrame:
 
 
 def _positives(lists: DataFrame) -> DataFrame:
-    return _users_rows(lists).select(
+    """One (user, positive) row per list element, multiplicity kept."""
+    return lists.where(F.col("customer_id").isNotNull()).select(
         F.col("customer_id").alias("user_id"), F.explode("neighbouring_user_ids").alias("positive_user_id")
     )
 
 
-def _users_rows(lists: DataFrame) -> DataFrame:
-    return lists.where(F.col("customer_id").isNotNull())
-
-
-def _distinct_neighbours(lists: DataFrame) -> DataFrame:
-    """Distinct (user, neighbour) pairs whose neighbour is another user."""
-    pos = _positives(lists).select("user_id", F.col("positive_user_id").alias("negative_user_id")).distinct()
-    others = pos.where(F.col("user_id") != F.col("negative_user_id"))
-    users = _users(lists).select(F.col("user_id").alias("negative_user_id"))
-    return others.join(users, "negative_user_id", "left_semi")
-
-
 def user_triples(lists: DataFrame, mode: str = "documented") -> DataFrame:
     """Q17/Q18: the full triple bag (``user_id``, ``positive_user_id``, ``negative_user_id``).
 
@@ -65,7 +54,8 @@ def user_triples(lists: DataFrame, mode: str = "documented") -> DataFrame:
     others = users.select(F.col("user_id").alias("negative_user_id"))
     negatives = users.join(others, F.col("user_id") != F.col("negative_user_id"), "inner")
     if mode == "documented":
-        negatives = negatives.join(_distinct_neighbours(lists), ["user_id", "negative_user_id"], "left_anti")
+        linked = _positives(lists).select("user_id", F.col("positive_user_id").alias("negative_user_id")).distinct()
+        negatives = negatives.join(linked, ["user_id", "negative_user_id"], "left_anti")
     return _positives(lists).join(negatives, "user_id", "inner").select(
         "user_id", "positive_user_id", "negative_user_id"
     )
