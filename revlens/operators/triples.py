@@ -123,5 +123,9 @@ def user_triple_counts_from_edges(edges: DataFrame, mode: str = "documented") ->
     )
     pos = _positive_counts(pairs)
     per_user = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_excluded"))
-    n_users = per_user.select(F.count(F.lit(1))).scalar()
+    # Every edge user has at least one neighbour, so this counts the users. It
+    # reads n_excluded on purpose: a plain row count lets the optimizer derive
+    # the users straight from the edges, and the subquery would then run the
+    # product self-join a second time; this way it reuses the per-user exchange.
+    n_users = per_user.select(F.count_if(F.col("n_excluded") > 0)).scalar()
     return _factorised_counts(pos, n_users, per_user if mode == "documented" else None)
