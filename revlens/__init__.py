@@ -14,6 +14,7 @@ from revlens.operators.customers import (
     qualified_common_customers_from_pairs,
 )
 from revlens.operators.neighbours import neighbour_edges, neighbour_lists
+from revlens.operators.report import materialised_report, review_report, review_summary
 from revlens.operators.stats import (
     five_star_share_by_marketplace,
     helpful_heatmap,
@@ -38,6 +39,7 @@ __all__ = [
     "helpful_heatmap",
     "helpful_share_by_marketplace",
     "helpful_share_by_rating",
+    "materialised_report",
     "neighbour_edges",
     "neighbour_lists",
     "one_star_share_by_marketplace",
@@ -48,6 +50,8 @@ __all__ = [
     "rating_share_by_category",
     "review_length_and_helpfulness",
     "review_length_by_marketplace",
+    "review_report",
+    "review_summary",
     "reviews_share_by_category",
     "star_share_by_marketplace",
     "user_triple_counts",
