@@ -35,3 +35,14 @@ def neighbour_lists(edges: DataFrame, ordered: bool = False) -> DataFrame:
     if ordered:
         nbrs = F.sort_array(nbrs)
     return edges.groupBy("customer_id").agg(nbrs.alias("neighbouring_user_ids"))
+
+
+def neighbour_pairs(edges: DataFrame) -> DataFrame:
+    """Q16 in long form: one row per (customer, neighbour) with ``n_shared``.
+
+    The same multiset as :func:`neighbour_lists` (a neighbour occurs
+    ``n_shared`` times in the list), but no row grows with a customer's
+    degree: a customer linked to a third of all customers is spread over many
+    rows and tasks instead of one array. Aggregated partially on the map side.
+    """
+    return edges.groupBy("customer_id", "neighbour_customer_id").agg(F.count(F.lit(1)).alias("n_shared"))

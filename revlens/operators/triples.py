@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.operators.neighbours import neighbour_pairs
+
 MODES = ("documented", "as_written")
 
 
@@ -40,27 +42,52 @@ def _positives(lists: DataFrame) -> DataFrame:
     )
 
 
-def user_triples(lists: DataFrame, mode: str = "documented") -> DataFrame:
-    """Q17/Q18: the full triple bag (``user_id``, ``positive_user_id``, ``negative_user_id``).
+def _expand(positives: DataFrame, users: DataFrame, linked: DataFrame, mode: str) -> DataFrame:
+    """Attach every negative of its user to each positive row.
 
     Negatives are built on the user table alone (user x other user, minus the
-    user's neighbours by an anti join on ids), then attached to the positives
-    by an equi join on the user, so no list is carried through a join. The
-    output is quadratic by definition; see :func:`user_triple_counts` for the
-    linear form.
+    user's distinct neighbours ``linked`` by an anti join on ids), then joined
+    to the positives on the user, so no list is carried through a join.
     """
-    _check_mode(mode)
-    users = _users(lists)
     others = users.select(F.col("user_id").alias("negative_user_id"))
     negatives = users.join(others, F.col("user_id") != F.col("negative_user_id"), "inner")
     if mode == "documented":
-        linked = _positives(lists).select("user_id", F.col("positive_user_id").alias("negative_user_id")).distinct()
         negatives = negatives.join(linked, ["user_id", "negative_user_id"], "left_anti")
-    return _positives(lists).join(negatives, "user_id", "inner").select(
-        "user_id", "positive_user_id", "negative_user_id"
+    return positives.join(negatives, "user_id", "inner").select("user_id", "positive_user_id", "negative_user_id")
+
+
+def user_triples(lists: DataFrame, mode: str = "documented") -> DataFrame:
+    """Q17/Q18: the full triple bag (``user_id``, ``positive_user_id``, ``negative_user_id``).
+
+    The output is quadratic by definition; see :func:`user_triple_counts` for
+    the linear form.
+    """
+    _check_mode(mode)
+    pos = _positives(lists)
+    linked = pos.select("user_id", F.col("positive_user_id").alias("negative_user_id")).distinct()
+    return _expand(pos, _users(lists), linked, mode)
+
+
+def _pairs_as_users(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.col("customer_id").alias("user_id"),
+        F.col("neighbour_customer_id").alias("positive_user_id"),
+        F.col("n_shared").alias("n_positive"),
     )
 
 
+def user_triples_from_pairs(pairs: DataFrame, mode: str = "documented") -> DataFrame:
+    """:func:`user_triples` from the long form of the lists (``neighbour_pairs``)."""
+    _check_mode(mode)
+    pos = _pairs_as_users(pairs)
+    expanded = pos.select(
+        "user_id", F.explode(F.array_repeat("positive_user_id", F.col("n_positive").cast("int"))).alias("positive_user_id")
+    )
+    users = pos.select("user_id").distinct()
+    linked = pos.select("user_id", F.col("positive_user_id").alias("negative_user_id"))
+    return _expand(expanded, users, linked, mode)
+
+
 def _positive_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("user_id", "positive_user_id").agg(F.count(F.lit(1)).alias("n_positive"))
 
@@ -108,24 +135,29 @@ def user_triple_counts(lists: DataFrame, mode: str = "documented") -> DataFrame:
     return _factorised_counts(pos, n_users, excluded)
 
 
-def user_triple_counts_from_edges(edges: DataFrame, mode: str = "documented") -> DataFrame:
-    """:func:`user_triple_counts` of ``neighbour_lists(edges)``, without the lists.
+def user_triple_counts_from_pairs(pairs: DataFrame, mode: str = "documented") -> DataFrame:
+    """:func:`user_triple_counts` from the long form of the lists (``neighbour_pairs``).
 
-    Edges are symmetric and never link a customer to itself, so the users are
-    the edge customers and a user's excluded neighbours are all its distinct
-    neighbours: one row of the (user, positive) counts each. The pairs are
-    aggregated on the map side instead of being collected into lists and
-    exploded again.
+    Pairs come from symmetric edges that never link a customer to itself, so
+    the users are the pair customers and a user excludes all its neighbours:
+    one pair row each.
     """
     _check_mode(mode)
-    pairs = edges.select(
-        F.col("customer_id").alias("user_id"), F.col("neighbour_customer_id").alias("positive_user_id")
-    )
-    pos = _positive_counts(pairs)
+    pos = _pairs_as_users(pairs)
     per_user = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_excluded"))
-    # Every edge user has at least one neighbour, so this counts the users. It
+    # Every user has at least one neighbour, so this counts the users. It
     # reads n_excluded on purpose: a plain row count lets the optimizer derive
     # the users straight from the edges, and the subquery would then run the
     # product self-join a second time; this way it reuses the per-user exchange.
     n_users = per_user.select(F.count_if(F.col("n_excluded") > 0)).scalar()
     return _factorised_counts(pos, n_users, per_user if mode == "documented" else None)
+
+
+def user_triple_counts_from_edges(edges: DataFrame, mode: str = "documented") -> DataFrame:
+    """:func:`user_triple_counts` of ``neighbour_lists(edges)``, without the lists.
+
+    The (user, neighbour) pairs are aggregated on the map side
+    (:func:`~revlens.operators.neighbours.neighbour_pairs`) instead of being
+    collected into lists and exploded again.
+    """
+    return user_triple_counts_from_pairs(neighbour_pairs(edges), mode)

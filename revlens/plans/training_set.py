@@ -21,9 +21,20 @@ from revlens.operators.customers import (
     customer_purchases_from_pairs,
     qualified_common_customers,
 )
-from revlens.operators.neighbours import neighbour_edges, neighbour_lists
-from revlens.operators.triples import user_triple_counts, user_triples
-from revlens.sources.readers import read_neighbour_lists, read_pairs, read_reviews, spread_if_narrow
+from revlens.operators.neighbours import neighbour_edges, neighbour_lists, neighbour_pairs
+from revlens.operators.triples import (
+    user_triple_counts,
+    user_triple_counts_from_pairs,
+    user_triples,
+    user_triples_from_pairs,
+)
+from revlens.sources.readers import (
+    read_neighbour_lists,
+    read_neighbour_pairs,
+    read_pairs,
+    read_reviews,
+    spread_if_narrow,
+)
 from revlens.sources.sinks import write_parquet
 
 log = logging.getLogger(__name__)
@@ -32,6 +43,8 @@ log = logging.getLogger(__name__)
 QUALIFIED_DIR = "part_2_1"
 PAIRS_DIR = "stg"
 LISTS_DIR = "part_2_2"
+NEIGHBOUR_PAIRS_DIR = "part_2_2_pairs"
+LIST_FORMATS = ("lists", "pairs")
 TRIPLES_DIR = "part_2_3"
 TRIPLE_COUNTS_DIR = "part_2_3_counts"
 
@@ -79,13 +92,27 @@ def stage_common_customers(
 
 
 def stage_neighbours(
-    spark: SparkSession, pairs_path: str, out_dir: str, lists_files: int | None = None
+    spark: SparkSession,
+    pairs_path: str,
+    out_dir: str,
+    lists_files: int | None = None,
+    list_format: str = "lists",
 ) -> StageResult:
-    """Stage 2: purchases from the staged pairs, neighbour edges, lists."""
+    """Stage 2: purchases from the staged pairs, neighbour edges, lists.
+
+    ``list_format="lists"`` writes one array per customer (the hand-off
+    contract); ``"pairs"`` writes the same multiset as (customer, neighbour,
+    n_shared) rows, which no hot customer can grow into one huge row.
+    """
+    if list_format not in LIST_FORMATS:
+        raise ValueError(f"list_format must be one of {LIST_FORMATS}")
     pairs = spread_if_narrow(read_pairs(spark, pairs_path))
-    lists = neighbour_lists(neighbour_edges(customer_purchases_from_pairs(pairs)))
+    edges = neighbour_edges(customer_purchases_from_pairs(pairs))
     result = StageResult()
-    _write_counted(lists, _join(out_dir, LISTS_DIR), "lists", lists_files, result)
+    if list_format == "lists":
+        _write_counted(neighbour_lists(edges), _join(out_dir, LISTS_DIR), "lists", lists_files, result)
+    else:
+        _write_counted(neighbour_pairs(edges), _join(out_dir, NEIGHBOUR_PAIRS_DIR), "neighbour_pairs", lists_files, result)
     return result
 
 
@@ -96,18 +123,27 @@ def stage_triples(
     mode: str = "documented",
     expand: bool = True,
     triples_files: int | None = None,
+    list_format: str = "lists",
 ) -> StageResult:
     """Stage 3: triples (``expand``) or their exact factorised counts.
 
+    Reads stage 2's lists or, with ``list_format="pairs"``, its long form.
     The expanded bag is quadratic in the number of users; the counts are
     linear and carry the same information together with the lists.
     """
-    lists = spread_if_narrow(read_neighbour_lists(spark, lists_path))
+    if list_format not in LIST_FORMATS:
+        raise ValueError(f"list_format must be one of {LIST_FORMATS}")
+    if list_format == "lists":
+        source = spread_if_narrow(read_neighbour_lists(spark, lists_path))
+        expanded, counted = user_triples, user_triple_counts
+    else:
+        source = spread_if_narrow(read_neighbour_pairs(spark, lists_path))
+        expanded, counted = user_triples_from_pairs, user_triple_counts_from_pairs
     result = StageResult()
     if expand:
-        _write_counted(user_triples(lists, mode), _join(out_dir, TRIPLES_DIR), "triples", triples_files, result)
+        _write_counted(expanded(source, mode), _join(out_dir, TRIPLES_DIR), "triples", triples_files, result)
     else:
-        counts = user_triple_counts(lists, mode)
+        counts = counted(source, mode)
         _write_counted(counts, _join(out_dir, TRIPLE_COUNTS_DIR), "triple_counts", triples_files, result)
     return result
 
@@ -122,6 +158,7 @@ def build_training_set(
     mode: str = "documented",
     expand: bool = True,
     file_counts: dict[str, int] | None = None,
+    list_format: str = "lists",
 ) -> StageResult:
     """Run stages 1-3 in order; each reads what the one before wrote."""
     files = file_counts or {}
@@ -135,8 +172,9 @@ def build_training_set(
         files.get("qualified"),
         files.get("pairs"),
     )
-    second = stage_neighbours(spark, result.paths["pairs"], out_dir, files.get("lists"))
-    third = stage_triples(spark, second.paths["lists"], out_dir, mode, expand, files.get("triples"))
+    second = stage_neighbours(spark, result.paths["pairs"], out_dir, files.get("lists"), list_format)
+    handed = second.paths["lists" if list_format == "lists" else "neighbour_pairs"]
+    third = stage_triples(spark, handed, out_dir, mode, expand, files.get("triples"), list_format)
     for stage in (second, third):
         result.paths.update(stage.paths)
         result.rows.update(stage.rows)
@@ -162,21 +200,24 @@ def main(argv: list[str] | None = None) -> StageResult:
     parser.add_argument("--more-than-music", default="5")
     parser.add_argument("--mode", default="documented", choices=["documented", "as_written"])
     parser.add_argument("--counts-only", action="store_true", help="stage 3 writes factorised counts")
+    parser.add_argument("--list-format", default="lists", choices=list(LIST_FORMATS))
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"revlens-training-set-{args.stage}").getOrCreate()
     if args.stage == "all":
         return build_training_set(
             spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music,
-            args.mode, expand=not args.counts_only,
+            args.mode, expand=not args.counts_only, list_format=args.list_format,
         )
     if args.stage == "common-customers":
         return stage_common_customers(
             spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music
         )
     if args.stage == "neighbours":
-        return stage_neighbours(spark, args.source, args.out)
-    return stage_triples(spark, args.source, args.out, args.mode, expand=not args.counts_only)
+        return stage_neighbours(spark, args.source, args.out, list_format=args.list_format)
+    return stage_triples(
+        spark, args.source, args.out, args.mode, expand=not args.counts_only, list_format=args.list_format
+    )
 
 
 if __name__ == "__main__":

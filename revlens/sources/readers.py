@@ -13,6 +13,7 @@ from revlens.sources.schemas import (
     CATEGORY_COL,
     MUSIC,
     NEIGHBOUR_LIST_SCHEMA,
+    NEIGHBOUR_PAIR_SCHEMA,
     PAIR_SCHEMA,
     PARTITION_COL,
     REVIEW_SCHEMA,
@@ -86,3 +87,8 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 def read_neighbour_lists(spark: SparkSession, path: str) -> DataFrame:
     """Neighbour lists (stage 2 -> stage 3 hand-off)."""
     return spark.read.schema(NEIGHBOUR_LIST_SCHEMA).parquet(path)
+
+
+def read_neighbour_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """Neighbour pairs, the long form of the lists (optional stage 2 -> 3 hand-off)."""
+    return spark.read.schema(NEIGHBOUR_PAIR_SCHEMA).parquet(path)

@@ -4,6 +4,7 @@ from pyspark.sql.types import (
     ArrayType,
     DateType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -57,5 +58,14 @@ NEIGHBOUR_LIST_SCHEMA = StructType(
     ]
 )
 
+# Long form of the neighbour lists (optional stage 2 -> stage 3 hand-off).
+NEIGHBOUR_PAIR_SCHEMA = StructType(
+    [
+        StructField("customer_id", StringType(), True),
+        StructField("neighbour_customer_id", StringType(), True),
+        StructField("n_shared", LongType(), True),
+    ]
+)
+
 QUALIFIED_SCHEMA_NAMES = ("customer_id_books", "num_books_products", "num_music_products")
 TRIPLE_COLUMNS = ("user_id", "positive_user_id", "negative_user_id")
