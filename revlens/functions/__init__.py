@@ -1,5 +1,5 @@
 """Reusable column expressions (all JVM-side built-ins, no UDFs)."""
 
-from revlens.functions.measures import helpful_percent, review_length, share_percent
+from revlens.functions.measures import helpful_percent, percent_of_total, review_length, share_percent
 
-__all__ = ["helpful_percent", "review_length", "share_percent"]
+__all__ = ["helpful_percent", "percent_of_total", "review_length", "share_percent"]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def share_percent(value: str, partition_by: Sequence[str] = ()) -> Column:
-    """``value`` as a percent of its total over ``partition_by`` (all rows if empty).
+def share_percent(value: str, partition_by: Sequence[str]) -> Column:
+    """``value`` as a percent of its total inside each ``partition_by`` group.
 
     Meant for already-aggregated frames, whose size is the number of groups.
     """
@@ -17,6 +17,17 @@ def share_percent(value: str, partition_by: Sequence[str] = ()) -> Column:
     return F.col(value) / total * 100
 
 
+def percent_of_total(aggregated: DataFrame, value: str) -> Column:
+    """``value`` as a percent of its sum over all rows of ``aggregated``.
+
+    The total is a scalar subquery over the aggregated rows, so no row moves to
+    a single partition; it reads the aggregate's output, so adaptive execution
+    reuses the aggregate's exchange instead of scanning the input again.
+    """
+    total = aggregated.select(F.sum(value)).scalar()
+    return F.col(value) / total * 100
+
+
 def helpful_percent() -> Column:
     """Ratio of summed votes (not an average of ratios) times 100.
 

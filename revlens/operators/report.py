@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.measures import review_length, share_percent
+from revlens.functions.measures import percent_of_total, review_length, share_percent
 from revlens.operators import stats
 from revlens.sources.schemas import CATEGORY_COL
 
@@ -54,7 +54,7 @@ def review_report(summary: DataFrame) -> dict[str, DataFrame]:
         .orderBy(CAT, "star_rating")
     )
     return {
-        "reviews_share_by_category": by_cat.select(CAT, N, share_percent(N).alias("reviews_percent")),
+        "reviews_share_by_category": by_cat.select(CAT, N, percent_of_total(by_cat, N).alias("reviews_percent")),
         "rating_share_by_category": by_cat_star.select(
             CAT, "star_rating", N, share_percent(N, [CAT]).alias("reviews_perc")
         ).orderBy(CAT, "star_rating"),

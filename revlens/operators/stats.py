@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.measures import helpful_percent, review_length, share_percent
+from revlens.functions.measures import helpful_percent, percent_of_total, review_length, share_percent
 from revlens.sources.schemas import BOOKS, CATEGORY_COL, MUSIC
 
 CAT = CATEGORY_COL
@@ -26,7 +26,7 @@ def _count_reviews(reviews: DataFrame, *keys: str) -> DataFrame:
 def reviews_share_by_category(reviews: DataFrame) -> DataFrame:
     """Q1: reviews per category and their percent of all reviews."""
     counts = _count_reviews(reviews, CAT)
-    return counts.select(CAT, N, share_percent(N).alias("reviews_percent"))
+    return counts.select(CAT, N, percent_of_total(counts, N).alias("reviews_percent"))
 
 
 def rating_share_by_category(reviews: DataFrame) -> DataFrame:
