@@ -145,11 +145,10 @@ def user_triple_counts_from_pairs(pairs: DataFrame, mode: str = "documented") ->
     _check_mode(mode)
     pos = _pairs_as_users(pairs)
     per_user = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_excluded"))
-    # Every user has at least one neighbour, so this counts the users. It
-    # reads n_excluded on purpose: a plain row count lets the optimizer derive
-    # the users straight from the edges, and the subquery would then run the
-    # product self-join a second time; this way it reuses the per-user exchange.
-    n_users = per_user.select(F.count_if(F.col("n_excluded") > 0)).scalar()
+    # The optimizer plans this count as the distinct pair customers, which
+    # drops the per-user aggregate. Forcing reuse of the per-user exchange
+    # instead was measured to cost more task time (96 s against 57 s at sf0.1).
+    n_users = per_user.select(F.count(F.lit(1))).scalar()
     return _factorised_counts(pos, n_users, per_user if mode == "documented" else None)
 
 
