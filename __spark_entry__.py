@@ -18,7 +18,7 @@ from revlens.operators import customers, neighbours, stats, triples
 from revlens.plans.session import checkpoint_dir
 from revlens.plans.training_set import stage_common_customers, stage_neighbours, stage_triples
 from revlens.sources.driver_view import REVIEW_COLUMNS, driver_reviews
-from revlens.sources.readers import read_neighbour_lists, split_categories
+from revlens.sources.readers import split_categories
 from revlens.sources.schemas import BOOKS, MUSIC
 from revlens.sources.sinks import write_parquet
 
