@@ -100,6 +100,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_purchases": _purchases,
         "neighbour_edges": _edges,
         "neighbour_lists": lambda s, d: _lists(s, d, ordered=True),
+        "neighbour_pairs": lambda s, d: neighbours.neighbour_pairs(_edges(s, d)),
         "user_triple_counts_as_written": lambda s, d: triples.user_triple_counts_from_edges(_edges(s, d), "as_written"),
         "user_triple_counts_documented": lambda s, d: triples.user_triple_counts_from_edges(_edges(s, d), "documented"),
         "build_training_set": _training_set,
@@ -275,6 +276,9 @@ SELECT customer_id, product_id, neighbour_customer_id, neighbour_product_id FROM
         "neighbour_lists": f"""{w}, {_EDGES}
 SELECT customer_id, list(neighbour_customer_id ORDER BY neighbour_customer_id) AS neighbouring_user_ids
 FROM edges GROUP BY customer_id""",
+        "neighbour_pairs": f"""{w}, {_EDGES}
+SELECT customer_id, neighbour_customer_id, count(*) AS n_shared
+FROM edges GROUP BY customer_id, neighbour_customer_id""",
         "user_triple_counts_as_written": _triple_counts_sql(False),
         "user_triple_counts_documented": _triple_counts_sql(True),
         "build_training_set": _triple_counts_sql(True),
