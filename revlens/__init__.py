@@ -13,7 +13,7 @@ from revlens.operators.customers import (
     qualified_common_customers,
     qualified_common_customers_from_pairs,
 )
-from revlens.operators.neighbours import neighbour_edges, neighbour_lists
+from revlens.operators.neighbours import neighbour_edges, neighbour_lists, neighbour_pairs
 from revlens.operators.report import materialised_report, review_report, review_summary
 from revlens.operators.stats import (
     five_star_share_by_marketplace,
@@ -29,7 +29,13 @@ from revlens.operators.stats import (
     reviews_share_by_category,
     star_share_by_marketplace,
 )
-from revlens.operators.triples import user_triple_counts, user_triple_counts_from_edges, user_triples
+from revlens.operators.triples import (
+    user_triple_counts,
+    user_triple_counts_from_edges,
+    user_triple_counts_from_pairs,
+    user_triples,
+    user_triples_from_pairs,
+)
 
 __all__ = [
     "common_customer_pairs",
@@ -42,6 +48,7 @@ __all__ = [
     "materialised_report",
     "neighbour_edges",
     "neighbour_lists",
+    "neighbour_pairs",
     "one_star_share_by_marketplace",
     "qualified_common_customers",
     "qualified_common_customers_from_pairs",
@@ -56,5 +63,7 @@ __all__ = [
     "star_share_by_marketplace",
     "user_triple_counts",
     "user_triple_counts_from_edges",
+    "user_triple_counts_from_pairs",
     "user_triples",
+    "user_triples_from_pairs",
 ]

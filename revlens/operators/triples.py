@@ -1,5 +1,8 @@
 """(user, positive, negative) triples from neighbour lists (stage 3).
 
+Each function also has a ``_from_pairs`` form that reads the long form of the
+lists, (customer, neighbour, n_shared) rows, with the same results.
+
 Users are the customers that have a list row. A positive is an element of the
 user's list (with multiplicity). A negative is another user:
 
