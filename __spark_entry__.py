@@ -76,33 +76,53 @@ def _training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        # Q1
         "reviews_share_by_category": lambda s, d: stats.reviews_share_by_category(_reviews(s, d, _COUNT_COLS)),
+        # Q2
         "rating_share_by_category": lambda s, d: stats.rating_share_by_category(_reviews(s, d, _COUNT_COLS)),
+        # Q3
         "rating_counts_by_marketplace": _rating_counts,
+        # Q4
         "five_star_share_by_marketplace": lambda s, d: stats.five_star_share_by_marketplace(_rating_counts(s, d)),
+        # Q5
         "one_star_share_by_marketplace": lambda s, d: stats.one_star_share_by_marketplace(_rating_counts(s, d)),
+        # Q6
         "rating_mix_by_marketplace": lambda s, d: stats.rating_mix_by_marketplace(_rating_counts(s, d)),
+        # Q7
         "helpful_share_by_rating": lambda s, d: stats.helpful_share_by_rating(_reviews(s, d, _HELPFUL_COLS)),
+        # Q8
         "helpful_heatmap": lambda s, d: stats.helpful_heatmap(
             stats.helpful_share_by_rating(_reviews(s, d, _HELPFUL_COLS))
         ),
+        # Q9
         "helpful_share_by_marketplace": lambda s, d: stats.helpful_share_by_marketplace(
             _reviews(s, d, ("marketplace",) + _HELPFUL_COLS)
         ),
+        # Q10
         "review_length_and_helpfulness": lambda s, d: stats.review_length_and_helpfulness(
             _reviews(s, d, _LENGTH_COLS)
         ),
+        # Q11
         "review_length_by_marketplace": lambda s, d: stats.review_length_by_marketplace(
             _reviews(s, d, ("marketplace", "star_rating", "review_body"))
         ),
+        # Q12
         "common_customer_pairs": lambda s, d: customers.common_customer_pairs(*_sides(s, d)),
+        # Q13
         "qualified_common_customers": lambda s, d: customers.qualified_common_customers(*_sides(s, d), 4, 5),
+        # Q14
         "customer_purchases": _purchases,
+        # Q15
         "neighbour_edges": _edges,
+        # Q16
         "neighbour_lists": lambda s, d: _lists(s, d, ordered=True),
+        # Q16, long form
         "neighbour_pairs": lambda s, d: neighbours.neighbour_pairs(_edges(s, d)),
+        # Q17, factorised
         "user_triple_counts_as_written": lambda s, d: triples.user_triple_counts_from_edges(_edges(s, d), "as_written"),
+        # Q18, factorised
         "user_triple_counts_documented": lambda s, d: triples.user_triple_counts_from_edges(_edges(s, d), "documented"),
+        # Q19
         "build_training_set": _training_set,
     }
 
