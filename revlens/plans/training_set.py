@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from revlens.operators.customers import (
     common_customer_pairs,
+    customer_purchases,
     customer_purchases_from_pairs,
     qualified_common_customers,
 )
@@ -32,6 +33,7 @@ from revlens.sources.readers import (
     read_neighbour_lists,
     read_neighbour_pairs,
     read_pairs,
+    read_purchases,
     read_reviews,
     spread_if_narrow,
 )
@@ -42,6 +44,8 @@ log = logging.getLogger(__name__)
 # Output folder names of the three stages (fixed hand-off layout).
 QUALIFIED_DIR = "part_2_1"
 PAIRS_DIR = "stg"
+PURCHASES_DIR = "stg_purchases"
+STAGED_FORMATS = ("grid", "purchases")
 LISTS_DIR = "part_2_2"
 NEIGHBOUR_PAIRS_DIR = "part_2_2_pairs"
 LIST_FORMATS = ("lists", "pairs")
@@ -76,18 +80,29 @@ def stage_common_customers(
     more_than_music: int | str = 5,
     qualified_files: int | None = None,
     pairs_files: int | None = None,
+    staged: str = "grid",
 ) -> StageResult:
-    """Stage 1: qualified customers (thresholds are strict) and unfiltered pairs.
+    """Stage 1: qualified customers (thresholds are strict) and the staged rows.
 
     Thresholds may arrive as strings from a job launcher; they become ints
-    here. The pairs written for stage 2 are not filtered by the thresholds.
+    here. The staged rows for stage 2 are not filtered by the thresholds:
+    ``staged="grid"`` writes the (book, music) pairs of every common customer
+    (the hand-off contract); ``"purchases"`` writes the purchases stage 2
+    derives from them, which grow linearly instead of with books x music per
+    customer.
     """
+    if staged not in STAGED_FORMATS:
+        raise ValueError(f"staged must be one of {STAGED_FORMATS}")
     books = read_reviews(spark, books_path)
     music = read_reviews(spark, music_path)
     result = StageResult()
     qualified = qualified_common_customers(books, music, int(more_than_books), int(more_than_music))
     _write_counted(qualified, _join(out_dir, QUALIFIED_DIR), "qualified", qualified_files, result)
-    _write_counted(common_customer_pairs(books, music), _join(out_dir, PAIRS_DIR), "pairs", pairs_files, result)
+    if staged == "grid":
+        _write_counted(common_customer_pairs(books, music), _join(out_dir, PAIRS_DIR), "pairs", pairs_files, result)
+    else:
+        purchases = customer_purchases(books, music)
+        _write_counted(purchases, _join(out_dir, PURCHASES_DIR), "purchases", pairs_files, result)
     return result
 
 
@@ -97,8 +112,12 @@ def stage_neighbours(
     out_dir: str,
     lists_files: int | None = None,
     list_format: str = "lists",
+    staged: str = "grid",
 ) -> StageResult:
-    """Stage 2: purchases from the staged pairs, neighbour edges, lists.
+    """Stage 2: purchases from the staged rows, neighbour edges, lists.
+
+    ``staged`` names what stage 1 wrote: the pair grid, split back into
+    purchases here, or the purchases themselves.
 
     ``list_format="lists"`` writes one array per customer (the hand-off
     contract); ``"pairs"`` writes the same multiset as (customer, neighbour,
@@ -106,8 +125,13 @@ def stage_neighbours(
     """
     if list_format not in LIST_FORMATS:
         raise ValueError(f"list_format must be one of {LIST_FORMATS}")
-    pairs = spread_if_narrow(read_pairs(spark, pairs_path))
-    edges = neighbour_edges(customer_purchases_from_pairs(pairs))
+    if staged not in STAGED_FORMATS:
+        raise ValueError(f"staged must be one of {STAGED_FORMATS}")
+    if staged == "grid":
+        purchases = customer_purchases_from_pairs(spread_if_narrow(read_pairs(spark, pairs_path)))
+    else:
+        purchases = spread_if_narrow(read_purchases(spark, pairs_path))
+    edges = neighbour_edges(purchases)
     result = StageResult()
     if list_format == "lists":
         _write_counted(neighbour_lists(edges), _join(out_dir, LISTS_DIR), "lists", lists_files, result)
@@ -159,8 +183,13 @@ def build_training_set(
     expand: bool = True,
     file_counts: dict[str, int] | None = None,
     list_format: str = "lists",
+    staged: str = "grid",
 ) -> StageResult:
-    """Run stages 1-3 in order; each reads what the one before wrote."""
+    """Run stages 1-3 in order; each reads what the one before wrote.
+
+    ``staged="purchases"`` and ``list_format="pairs"`` make every hand-off
+    linear in the data; the defaults keep the original hand-off formats.
+    """
     files = file_counts or {}
     result = stage_common_customers(
         spark,
@@ -171,8 +200,10 @@ def build_training_set(
         more_than_music,
         files.get("qualified"),
         files.get("pairs"),
+        staged,
     )
-    second = stage_neighbours(spark, result.paths["pairs"], out_dir, files.get("lists"), list_format)
+    first_out = result.paths["pairs" if staged == "grid" else "purchases"]
+    second = stage_neighbours(spark, first_out, out_dir, files.get("lists"), list_format, staged)
     handed = second.paths["lists" if list_format == "lists" else "neighbour_pairs"]
     third = stage_triples(spark, handed, out_dir, mode, expand, files.get("triples"), list_format)
     for stage in (second, third):
@@ -201,20 +232,22 @@ def main(argv: list[str] | None = None) -> StageResult:
     parser.add_argument("--mode", default="documented", choices=["documented", "as_written"])
     parser.add_argument("--counts-only", action="store_true", help="stage 3 writes factorised counts")
     parser.add_argument("--list-format", default="lists", choices=list(LIST_FORMATS))
+    parser.add_argument("--staged", default="grid", choices=list(STAGED_FORMATS))
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"revlens-training-set-{args.stage}").getOrCreate()
     if args.stage == "all":
         return build_training_set(
             spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music,
-            args.mode, expand=not args.counts_only, list_format=args.list_format,
+            args.mode, expand=not args.counts_only, list_format=args.list_format, staged=args.staged,
         )
     if args.stage == "common-customers":
         return stage_common_customers(
-            spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music
+            spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music,
+            staged=args.staged,
         )
     if args.stage == "neighbours":
-        return stage_neighbours(spark, args.source, args.out, list_format=args.list_format)
+        return stage_neighbours(spark, args.source, args.out, list_format=args.list_format, staged=args.staged)
     return stage_triples(
         spark, args.source, args.out, args.mode, expand=not args.counts_only, list_format=args.list_format
     )

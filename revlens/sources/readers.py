@@ -15,6 +15,7 @@ from revlens.sources.schemas import (
     NEIGHBOUR_LIST_SCHEMA,
     NEIGHBOUR_PAIR_SCHEMA,
     PAIR_SCHEMA,
+    PURCHASE_SCHEMA,
     PARTITION_COL,
     REVIEW_SCHEMA,
 )
@@ -84,6 +85,11 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAIR_SCHEMA).parquet(path)
 
 
+def read_purchases(spark: SparkSession, path: str) -> DataFrame:
+    """Purchases of common customers (optional stage 1 -> stage 2 hand-off)."""
+    return spark.read.schema(PURCHASE_SCHEMA).parquet(path)
+
+
 def read_neighbour_lists(spark: SparkSession, path: str) -> DataFrame:
     """Neighbour lists (stage 2 -> stage 3 hand-off)."""
     return spark.read.schema(NEIGHBOUR_LIST_SCHEMA).parquet(path)

@@ -50,6 +50,14 @@ PAIR_SCHEMA = StructType(
     ]
 )
 
+# Purchases of common customers (optional stage 1 -> stage 2 hand-off).
+PURCHASE_SCHEMA = StructType(
+    [
+        StructField("customer_id", StringType(), True),
+        StructField("product_id", StringType(), True),
+    ]
+)
+
 # Neighbour lists handed from stage 2 to stage 3; list elements are never null.
 NEIGHBOUR_LIST_SCHEMA = StructType(
     [
