@@ -15,13 +15,18 @@ def neighbour_edges(purchases: DataFrame) -> DataFrame:
     customers yields k*(k-1) rows; adaptive skew handling splits such a
     product's partition over several tasks.
     """
-    left = purchases.select("customer_id", "product_id")
-    right = purchases.select(
-        F.col("customer_id").alias("neighbour_customer_id"),
-        F.col("product_id").alias("neighbour_product_id"),
+    # Both sides are the same plan under two aliases and are renamed only after
+    # the join, so the purchases are shuffled by product once and the second
+    # side reads that exchange again.
+    a = purchases.select("customer_id", "product_id").alias("a")
+    b = purchases.select("customer_id", "product_id").alias("b")
+    cond = (F.col("a.product_id") == F.col("b.product_id")) & (F.col("a.customer_id") != F.col("b.customer_id"))
+    return a.join(b, cond, "inner").select(
+        F.col("a.customer_id").alias("customer_id"),
+        F.col("a.product_id").alias("product_id"),
+        F.col("b.customer_id").alias("neighbour_customer_id"),
+        F.col("b.product_id").alias("neighbour_product_id"),
     )
-    cond = (left.product_id == right.neighbour_product_id) & (left.customer_id != right.neighbour_customer_id)
-    return left.join(right, cond, "inner")
 
 
 def neighbour_lists(edges: DataFrame, ordered: bool = False) -> DataFrame:
