@@ -81,8 +81,14 @@ def customer_purchases(books: DataFrame, music: DataFrame) -> DataFrame:
     """
     b = _distinct_purchases(books)
     m = _distinct_purchases(music)
-    books_half = b.join(m.select("customer_id"), "customer_id", "left_semi")
-    music_half = m.join(b.select("customer_id"), "customer_id", "left_semi")
+    # The customer sets are their own per-customer aggregates (already
+    # partitioned by customer for the semi joins), not projections of the
+    # distinct purchases: a consumer that needs non-NULL products (the
+    # self-join of Q15) gets that filter pushed into the purchases, and the
+    # customer sets, which must keep NULL-product rows, would otherwise make
+    # each side's distinct purchases run twice.
+    books_half = b.join(music.select("customer_id").distinct(), "customer_id", "left_semi")
+    music_half = m.join(books.select("customer_id").distinct(), "customer_id", "left_semi")
     return books_half.union(music_half)
 
 
