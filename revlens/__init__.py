@@ -3,7 +3,8 @@
 Every operator is a lazy ``DataFrame -> DataFrame`` function built from the
 DataFrame API, so Catalyst prunes columns, pushes filters to the parquet scan
 and plans the shuffles; adaptive query execution re-plans joins and skew at run
-time. Only :mod:`revlens.plans.training_set` writes data.
+time. Only :mod:`revlens.plans.training_set` writes data, and
+:func:`~revlens.operators.report.materialised_report` checkpoints its summary.
 """
 
 from revlens.operators.customers import (
