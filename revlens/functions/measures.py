@@ -14,7 +14,8 @@ def share_percent(value: str, partition_by: Sequence[str]) -> Column:
     Meant for already-aggregated frames, whose size is the number of groups.
     """
     total = F.sum(value).over(Window.partitionBy(*partition_by))
-    return F.col(value) / total * 100
+    # a group whose counted values are all NULL sums to 0: NULL, not an error
+    return F.try_divide(F.col(value), total) * 100
 
 
 def percent_of_total(aggregated: DataFrame, value: str) -> Column:
@@ -25,7 +26,7 @@ def percent_of_total(aggregated: DataFrame, value: str) -> Column:
     reuses the aggregate's exchange instead of scanning the input again.
     """
     total = aggregated.select(F.sum(value)).scalar()
-    return F.col(value) / total * 100
+    return F.try_divide(F.col(value), total) * 100
 
 
 def helpful_percent() -> Column:
