@@ -3,9 +3,9 @@
 Every ``lineitem`` row plays one review. Parts of type ECONOMY or STANDARD are
 Books, PROMO or SMALL are Music, the rest is dropped. Lookups that only add
 columns (order -> customer -> nation -> region, document text) are LEFT joins
-on key columns, so they neither drop nor duplicate reviews; they are planned
-only when a caller asks for the columns they provide, since Spark does not
-remove an unused join by itself.
+on key columns (unique in the driver tables), so they neither drop nor
+duplicate reviews; they are planned only when a caller asks for the columns
+they provide, since Spark does not remove an unused join by itself.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ BODY_DOCUMENTS = 200
 
 REVIEW_COLUMNS = tuple(f.name for f in REVIEW_SCHEMA.fields) + (CATEGORY_COL,)
 _NEEDS_CUSTOMER_DIM = {"marketplace"}
+_NEEDS_ORDERS = {"customer_id", "marketplace"}
 _NEEDS_DOCUMENTS = {"review_body"}
 
 
@@ -80,7 +81,13 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
         marketplace = F.col("r_name")
 
     rev = lines.join(part, lines.l_partkey == part.p_partkey, "inner")
-    rev = rev.join(orders, rev.l_orderkey == orders.o_orderkey, "left")
+    customer_id = F.lit(None).cast("string")
+    if wanted & _NEEDS_ORDERS:
+        # A LEFT join on the orders key adds columns only; without the
+        # customer columns it is left out, which spares the statistics a
+        # shuffle of the line stream by order key on large tables.
+        rev = rev.join(orders, rev.l_orderkey == orders.o_orderkey, "left")
+        customer_id = F.col("o_custkey").cast("string")
 
     body = F.lit(None).cast("string")
     if wanted & _NEEDS_DOCUMENTS:
@@ -98,7 +105,7 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
     title = F.col("p_name")
     exprs = {
         "marketplace": marketplace,
-        "customer_id": F.col("o_custkey").cast("string"),
+        "customer_id": customer_id,
         "review_id": F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")),
         "product_id": F.col("l_partkey").cast("string"),
         "product_parent": F.col("l_partkey").cast("string"),
