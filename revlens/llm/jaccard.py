@@ -4,8 +4,8 @@ A document's set holds the 64-bit hashes of its distinct shingles. Documents of
 equal sets are one class, named by the hash of its set; everything below works
 on classes. Two classes link when ``100 * intersection >= percent * union``.
 
-1. One pass over the texts writes each document's class and a histogram of its
-   set, and counts shingles in a table of ``1 << SKETCH_BITS`` buckets: a size
+1. One pass over the texts writes each document's class and a parity sketch of its
+   set (bits that every shingle flips one of), and counts shingles in a table of ``1 << SKETCH_BITS`` buckets: a size
    that does not grow with the data, so it may be broadcast. It decides only in
    which order shingles are taken; any order gives the same links.
 2. Linked classes share one of their n - ceil(t n) + 1 rarest shingles. A second
@@ -13,8 +13,9 @@ on classes. Two classes link when ``100 * intersection >= percent * union``.
    frequent shingles are salted by class before they meet.
 3. Each bucket's classes are paired with its leader, the class of most common
    content: pairs grow with the bucket, not with its square. Pairs must pass the
-   length and positional filters, and the suffix filter: the histograms must
-   not differ by more than two linked sets can. Each pair is verified once.
+   length and positional filters, and the suffix filter: parity sketches differ
+   in no more bits than the sets differ in shingles, which for linked sets is
+   bounded. Each pair is verified once.
 4. Verified links give components. What remains are buckets with more than one
    component; there, all pairs across components pass the same filters and are
    verified. Pairs within a component cannot change it. So no link between
@@ -44,7 +45,7 @@ from .textblocks import Block, blocks, mix
 
 SKETCH_BITS = 22
 _PART = 1 << 16
-CLASSES = 64
+SKETCH_WORDS = 8
 SALTS = 16
 #: A bucket is salted by so many rows that its shingle's sketch may stand for.
 SALT_ROWS = 4096
@@ -77,36 +78,37 @@ def class_of(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
 
 
-def _histogram(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % CLASSES, minlength=CLASSES), 255).astype(np.uint8).tobytes()
+def _parity(s: np.ndarray) -> list[int]:
+    bits = np.bincount((s >> np.uint64(40)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
 
 def _first_pass(width: int):
-    """Rows of documents (doc_id, n, sid, histogram) and of sketch parts (part, places, counts)."""
-    names = ["doc_id", "n", "sid", "histogram", "part", "places", "counts"]
+    """Rows of documents (doc_id, n, sid, parity) and of sketch parts (part, places, counts)."""
+    names = ["doc_id", "n", "sid", "parity", "part", "places", "counts"]
 
-    def row(ids, n, sid, hist):
+    def row(ids, n, sid, parity):
         k = len(ids)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(hist, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(parity, pa.list_(pa.int64())), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names)
 
     def run(batches):
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            n, sid, hist = [0] * len(ids), [None] * len(ids), [None] * len(ids)
+            n, sid, parity = [0] * len(ids), [None] * len(ids), [None] * len(ids)
             for b in blocks(batch.column(1)):
                 for r, s in shingle_sets(b, width):
                     k = b.lo + r
-                    n[k], sid[k], hist[k] = len(s), class_of(s), _histogram(s)
+                    n[k], sid[k], parity[k] = len(s), class_of(s), _parity(s)
                     sketch[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)] += 1
-            yield row(ids, n, sid, hist)
+            yield row(ids, n, sid, parity)
         for part in range(len(sketch) // _PART):
             own = sketch[part * _PART : (part + 1) * _PART]
             at = np.flatnonzero(own)
             if len(at):
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([part], pa.int32()), pa.array([zlib.compress(at.astype(np.uint16).tobytes(), 1)], pa.binary()), pa.array([zlib.compress(own[at].tobytes(), 1)], pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()), pa.array([zlib.compress(at.astype(np.uint16).tobytes(), 1)], pa.binary()), pa.array([zlib.compress(own[at].tobytes(), 1)], pa.binary())], names)
 
-    return run, "doc_id long, n long, sid long, histogram binary, part int, places binary, counts binary"
+    return run, "doc_id long, n long, sid long, parity array<long>, part int, places binary, counts binary"
 
 
 def _add_up(batches):
@@ -163,6 +165,13 @@ def _may_link(n1, p1, n2, p2, percent: int) -> Column:
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * most.cast("long") >= percent * (n1 + n2).cast("long"))
 
 
+def _near_enough(n1: str, p1: str, n2: str, p2: str, percent: int) -> Column:
+    """Suffix filter: the sketches differ in no more bits than linked sets differ in shingles."""
+    unlike = sum((F.bit_count(F.get(p1, k).bitwiseXOR(F.get(p2, k))) for k in range(SKETCH_WORDS)), F.lit(0))
+    total = F.col(n1) + F.col(n2)
+    return unlike <= total - 2 * F.ceil(F.lit(percent) * total / (100 + percent))
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -174,20 +183,10 @@ class _Sets:
         self.docs, self.classes, self.width, self.percent = docs, classes, width, percent
 
     def _suffix_filter(self, pairs: DataFrame) -> DataFrame:
-        """Keep pairs whose histograms differ by no more than linked sets may."""
-        percent = self.percent
-        own = self.classes.select("sid", "n", "histogram")
-        wide = pairs.join(own.toDF("a", "na", "ha"), "a").join(own.toDF("b", "nb", "hb"), "b")
-
-        def run(batches):
-            for batch in batches:
-                na, nb = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 4))
-                ha, hb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16) for k in (3, 5))
-                need = -(-percent * (na + nb) // (100 + percent))
-                keep = np.abs(ha - hb).sum(axis=1) <= na + nb - 2 * need
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
-
-        return wide.select("a", "b", "na", "ha", "nb", "hb").mapInArrow(run, "a long, b long")
+        """Keep pairs whose sketches differ by no more than linked sets may."""
+        own = self.classes.select("sid", "n", "parity")
+        wide = pairs.join(own.toDF("a", "na", "pa"), "a").join(own.toDF("b", "nb", "pb"), "b")
+        return wide.where(_near_enough("na", "pa", "nb", "pb", self.percent)).select("a", "b")
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that link."""
@@ -226,7 +225,6 @@ class _Sets:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         sets = self.docs.select("text").mapInArrow(fetch, "sid long, members binary").dropDuplicates(["sid"])
-        sets = stored(sets, f"{name}-sets")
         wide = left.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         return stored(wide.mapInArrow(verify, "a long, b long"), f"{name}-links")
 
@@ -237,8 +235,8 @@ def similarity_components(docs: DataFrame, width: int = 4, percent: int = 85) ->
     run, schema = _first_pass(width)
     first = stored(own.mapInArrow(run, schema), "jaccard-first")
     shared = own.sparkSession.sparkContext.broadcast(_levels(first))
-    rows = first.where("part is null").select("doc_id", "n", "sid", "histogram")
-    classes = stored(rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("histogram").alias("histogram"), F.count("*").alias("size")), "jaccard-classes")
+    rows = first.where("part is null").select("doc_id", "n", "sid", "parity")
+    classes = stored(rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.count("*").alias("size")), "jaccard-classes")
     sets = _Sets(own, classes, width, percent)
 
     run, schema = _prefixes(shared, width, percent)
@@ -259,13 +257,14 @@ def similarity_components(docs: DataFrame, width: int = 4, percent: int = 85) ->
     sizes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"), F.max("salts").alias("salts"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count("*").alias("k"), F.max("salts").alias("salts")).where("k > 1")
     mixed = mixed.select("token", "main", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    rest = stored(labelled.join(mixed, ["token", "salt"]).select("token", "sid", "n", "pos", "label", "main").distinct(), "jaccard-rest")
+    rest = stored(labelled.join(mixed, ["token", "salt"]).select("token", "sid", "n", "pos", "label", "main").distinct().join(classes.select("sid", "parity"), "sid"), "jaccard-rest")
     x, y = rest.where("label <> main").alias("x"), rest.alias("y")
     across = x.join(
         y,
         (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label"))
         & ((F.col("y.label") == F.col("y.main")) | (F.col("x.sid") < F.col("y.sid")))
-        & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent),
+        & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)
+        & _near_enough("x.n", "x.parity", "y.n", "y.parity", percent),
     )
     more = across.select(*_pair("x.sid", "y.sid")).distinct().join(pairs, ["a", "b"], "left_anti")
     links = links.unionByName(sets.links(more, "jaccard-rest"))
