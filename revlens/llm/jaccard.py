@@ -21,7 +21,7 @@ on classes. Two classes link when ``100 * intersection >= percent * union``.
    verified. Pairs within a component cannot change it. So no link between
    components is lost, and no group of copies is expanded into its pairs.
 
-Sets are verified on their 64-bit hashes.
+Sets are verified on 48 bits of their shingles' hashes.
 
 Defined results: a text of fewer words than a shingle is one shingle; null,
 empty and blank texts have an empty set and link with nothing; repeated rows and
@@ -43,7 +43,7 @@ from .components import components
 from .tables import stored, table
 from .textblocks import Block, blocks, mix
 
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 _PART = 1 << 16
 SKETCH_WORDS = 8
 SALTS = 16
@@ -176,6 +176,13 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _unpacked(members: bytes) -> np.ndarray:
+    """Shingle hashes from their upper six bytes."""
+    out = np.zeros((len(members) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(members, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 class _Sets:
     """Fetches and verifies pairs of classes."""
 
@@ -193,9 +200,11 @@ class _Sets:
         width, percent = self.width, self.percent
         left = stored(self._suffix_filter(pairs), f"{name}-pairs")
         spark = left.sparkSession
-        # A bitmap of the classes concerned, of fixed size; what passes it wrongly finds no pair below.
-        bit = F.pmod(F.col("sid"), F.lit(MAP_BITS))
-        words = left.select(F.explode(F.array("a", "b")).alias("sid")).select(bit.alias("bit")).groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toPandas()
+        # A bitmap of the documents that stand for a class concerned, of fixed size; what passes it
+        # wrongly finds no pair below, or the same pair again.
+        bit = F.pmod(F.col("sid").bitwiseXOR(F.xxhash64("least_id")), F.lit(MAP_BITS))
+        concerned = left.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(self.classes.select("sid", "least_id"), "sid")
+        words = concerned.select(bit.alias("bit")).groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toPandas()
         bitmap = np.zeros(MAP_BITS // 64, np.uint64)
         bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
         shared = spark.sparkContext.broadcast(bitmap)
@@ -203,15 +212,16 @@ class _Sets:
         def fetch(batches):
             wanted, seen = shared.value, set()
             for batch in batches:
+                marks = batch.column(1).to_numpy()
                 for b in blocks(batch.column(0)):
                     sids, sets = [], []
-                    for _, s in shingle_sets(b, width):
+                    for r, s in shingle_sets(b, width):
                         sid = class_of(s)
-                        k = sid % MAP_BITS
+                        k = (sid ^ int(marks[b.lo + r])) % MAP_BITS
                         if sid not in seen and int(wanted[k // 64]) >> (k % 64) & 1:
                             seen.add(sid)
                             sids.append(sid)
-                            sets.append(s.tobytes())
+                            sets.append(s.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes())
                     if sids:
                         yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], ["sid", "members"])
 
@@ -219,12 +229,12 @@ class _Sets:
             for batch in batches:
                 keep = []
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                    s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    s, t = _unpacked(x), _unpacked(y)
+                    both = len(np.intersect1d(s, t))
                     keep.append(100 * both >= percent * (len(s) + len(t) - both))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        sets = self.docs.select("text").mapInArrow(fetch, "sid long, members binary").dropDuplicates(["sid"])
+        sets = stored(self.docs.select("text", F.xxhash64("doc_id").alias("mark")).mapInArrow(fetch, "sid long, members binary"), f"{name}-sets")
         wide = left.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         return stored(wide.mapInArrow(verify, "a long, b long"), f"{name}-links")
 
