@@ -7,9 +7,9 @@ Second pass: the partitions' token totals are summed up into global offsets
 into windows of ``size``. Each document's share of a window is one boundary
 record. Only the last sequence can be shorter than ``size``.
 
-Ids come from the ``tokenizers`` library. Texts of Latin script are split by
-the vocabulary's own pattern first and each distinct piece is encoded once, as
-pieces do not influence each other; any other text is encoded whole.
+Ids are those of the ``tokenizers`` library. Texts of Latin script are encoded
+by ``tiktoken`` from the same vocabulary file, which gives the same ids (tested,
+and probed by every worker) at a fifth of the time; all others by ``tokenizers``.
 
 Defined results: a null or empty text is its end id alone; repeated rows are
 packed each; an empty table gives an empty result; further columns are never
@@ -18,6 +18,10 @@ read. A doc_id that stands in several rows has records for each of them.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,41 +32,48 @@ from .tables import stored, table
 
 SIZE = 1024
 END_ID = 0
-_KEPT = 150_000  # pieces of text whose ids a worker remembers
 
-#: The pattern by which this vocabulary splits texts (fixed value).
+#: The pattern by which byte-level vocabularies of this kind split texts (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Texts with other characters are encoded whole: libraries may class those differently.
-_PLAIN = r"[\t\n\r\x20-\x7e\xa1-ɏ]*"
+#: Other characters may be of other classes in another library.
+_PLAIN = "[\t\n\r\x20-\x7e\xa1-\u024f]*"
 _SPECIAL = "<|endoftext|>"
+_PROBE = "It's  a probe,\n\n \t of 1,234 naïve_words (über-long)!! "
 
 _coders: dict[str, "Coder"] = {}
 
 
+def _ranks(path: str) -> dict[bytes, int]:
+    """Bytes of every token of a byte-level vocabulary file, by id."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes the file writes as themselves; the others follow from 256 on
+    hidden = [b for b in range(256) if b not in shown]
+    value = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    return {bytes(value[c] for c in word): k for word, k in vocabulary.items() if word != _SPECIAL}
+
+
 class Coder:
     """Token ids of texts as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(PATTERN).findall
-        self.plain = regex.compile(_PLAIN).fullmatch
-        self.known: dict[str, bytes] = {}
+        self.plain = re.compile(_PLAIN).fullmatch
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={}).encode_to_numpy
+        if self.fast(_PROBE).astype("<u4").tobytes() != self._whole(_PROBE):
+            self.plain = lambda text: False  # another vocabulary: one library for all
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [self.split(t) if t and self.plain(t) and _SPECIAL not in t else None for t in texts]
-        new = list({p for row in pieces if row for p in row} - self.known.keys())
-        if len(self.known) + len(new) > _KEPT:
-            self.known.clear()
-            new = list({p for row in pieces if row for p in row})
-        self.known.update(zip(new, self._encode(new), strict=True))
-        known = self.known.__getitem__
-        return [b"".join(map(known, row)) if row is not None else (self._encode([t])[0] if t else b"") for t, row in zip(texts, pieces, strict=True)]
+        return [
+            b"" if not t else self.fast(t).astype("<u4").tobytes() if self.plain(t) and _SPECIAL not in t else self._whole(t)
+            for t in texts
+        ]
 
 
 def coder(path: str) -> Coder:
