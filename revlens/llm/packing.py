@@ -114,7 +114,8 @@ def pack(docs: DataFrame, vocabulary: str, size: int = SIZE) -> DataFrame:
     totals = rows.groupBy("part").agg(F.sum("n").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    at = rows.join(bases, "part").withColumn("at", F.col("base") + F.col("place"))
+    # One row for each input partition, 16 bytes each: 16 MB at a million partitions.
+    at = rows.join(F.broadcast(bases), "part").withColumn("at", F.col("base") + F.col("place"))
     last = F.floor((F.col("at") + F.col("n") - 1) / size)
     cut = at.withColumn("sequence_id", F.explode(F.sequence(F.floor(F.col("at") / size), last)))
     start = F.greatest(F.col("sequence_id") * size, F.col("at")) - F.col("at")
