@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .components import components
-from .tables import stored, table
+from .tables import bitmap, stored, table
 from .textblocks import Block, blocks, mix
 
 SKETCH_BITS = 23
@@ -204,10 +204,7 @@ class _Sets:
         # wrongly finds no pair below, or the same pair again.
         bit = F.pmod(F.col("sid").bitwiseXOR(F.xxhash64("least_id")), F.lit(MAP_BITS))
         concerned = left.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(self.classes.select("sid", "least_id"), "sid")
-        words = concerned.select(bit.alias("bit")).groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toPandas()
-        bitmap = np.zeros(MAP_BITS // 64, np.uint64)
-        bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-        shared = spark.sparkContext.broadcast(bitmap)
+        shared = spark.sparkContext.broadcast(bitmap(concerned.select(bit.alias("bit")), MAP_BITS))
 
         def fetch(batches):
             wanted, seen = shared.value, set()

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored, table
+from .tables import bitmap, stored, table
 from .textblocks import Block, blocks, mix
 
 LENGTH = 100
@@ -178,13 +178,13 @@ def _strings(shared):
     names = ["gram", "right", "left", "key", "doc", "first"]
 
     def run(batches):
-        bitmap = shared.value
+        wanted = shared.value
         for batch in batches:
             keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for b in blocks(batch.column(2)):
                 gram, string, row, a, z, p = samples(b)
                 bit = _wanted_bit(string, keys[b.lo + row], a)
-                use = np.flatnonzero((bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1))
+                use = np.flatnonzero((wanted[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1))
                 if not len(use):
                     continue
                 raw = b.data.tobytes()
@@ -315,10 +315,8 @@ def duplicate_windows(docs: DataFrame) -> DataFrame:
     run, schema = _send(parts)
     met = stored(docs.mapInArrow(run, schema).repartition(parts, "r").mapInArrow(_meet, "key long, first long, last long, bit long"), "suffix-met")
     # A bitmap of fixed size tells which strings go on; one that passes it wrongly is sorted without need.
-    words = met.where("bit is not null").groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toPandas()
-    bitmap = np.zeros(MAP_BITS // 64, np.uint64)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    run, schema = _strings(spark.sparkContext.broadcast(bitmap))
+    wanted = bitmap(met.where("bit is not null").select("bit"), MAP_BITS)
+    run, schema = _strings(spark.sparkContext.broadcast(wanted))
     sorted_ = docs.mapInArrow(run, schema).repartition(parts, "gram").sortWithinPartitions("gram", "right")
     found = sorted_.mapInArrow(_sort_shards, "key long, first long, last long")
     return met.where("bit is null").select("key", "first", "last").unionByName(found)
