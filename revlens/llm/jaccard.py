@@ -43,7 +43,7 @@ from .components import components
 from .tables import bitmap, stored, table
 from .textblocks import Block, blocks, mix
 
-SKETCH_BITS = 23
+SKETCH_BITS = 24
 _PART = 1 << 16
 SKETCH_WORDS = 8
 SALTS = 16
