@@ -8,9 +8,10 @@ of 100 with three. Benchmark seeds are joined with the seeds of all documents,
 and each hit is verified on its twelve tokens: at least ten must agree. An item
 shorter than twelve tokens is sought as a whole, without tolerance.
 
-Documents' seeds are tested against a bitmap of the benchmark's before the join.
-Its size is a parameter and does not grow with the data; the join after it is
-exact, so a full bitmap costs time only. Benchmark seeds are repeated over
+All masks look at the first and the last of their tokens. A window is tested for
+that pair first, and its seeds after that, against a bitmap of the benchmark's
+pairs and seeds. Its size is a parameter and does not grow with the data; the
+join after it is exact, so a full bitmap costs time only. Benchmark seeds are repeated over
 ``SALTS`` so that one passage in a third of all documents is spread.
 
 Result: one row for each document and benchmark item with a verified overlap:
@@ -48,72 +49,76 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.transform(words, lambda x: F.xxhash64(x)), F.array().cast("array<bigint>"))
 
 
-def _plan(lengths: list[int]) -> list[tuple[int, tuple[int, ...], int]]:
-    """(span, positions, tokens that must agree) of all masks; whole-item masks for short items."""
-    return [(SPAN, m, AGREE) for m in MASKS] + [(n, tuple(range(n)), n) for n in lengths]
+def _spans(lengths: list[int]) -> dict[int, tuple]:
+    """Masks by window length; an item shorter than the usual window is one window of all its tokens."""
+    return {SPAN: MASKS} | {n: (tuple(range(n)),) for n in lengths}
 
 
-def _seed(toks: Column, at: Column, number: int, positions: tuple[int, ...]) -> Column:
-    return F.xxhash64(F.lit(number), *(F.get(toks, at + p) for p in positions))
+def _pair(toks: Column, at: Column, span: int) -> Column:
+    """What is common to all masks of a window: its first and last token."""
+    return F.xxhash64(F.lit(span), F.get(toks, at), F.get(toks, at + (span - 1)))
 
 
-def item_seeds(items: DataFrame, plan) -> DataFrame:
-    """mask, seed, item_id, item_at, window and item_tokens of all benchmark items (distinct)."""
-    rows = items.select(F.col("item_id"), tokens(F.col("text")).alias("toks")).withColumn("n", F.size("toks"))
-    parts = []
-    for number, (span, positions, _) in enumerate(plan):
-        fits = rows.where(F.col("n") >= SPAN) if span == SPAN else rows.where(F.col("n") == span)
-        at = fits.select("item_id", "toks", "n", F.explode(F.sequence(F.lit(0), F.col("n") - span)).alias("item_at"))
-        parts.append(at.select(
-            F.lit(number).alias("mask"), _seed(F.col("toks"), F.col("item_at"), number, positions).alias("seed"), "item_id", "item_at",
-            F.slice("toks", F.col("item_at") + 1, span).alias("window"), F.col("n").cast("long").alias("item_tokens"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+def _seeds(window: str, span: int, masks) -> Column:
+    """One hash for each mask, of the window's tokens the mask looks at."""
+    positions = F.array(*(F.array(*(F.lit(p) for p in m)) for m in masks))
+    return F.transform(positions, lambda m: F.xxhash64(F.lit(span), F.transform(m, lambda p: F.get(window, p))))
+
 
+def _bit(key: Column, bits: int) -> Column:
+    return F.pmod(key, F.lit(bits))
 
-def _bitmap(seeds: DataFrame, bits: int) -> Column:
-    """One array of longs in which the bit of every benchmark seed is set, as a scalar subquery."""
-    spark = seeds.sparkSession
-    bit = F.pmod(F.col("seed"), F.lit(bits))
-    words = seeds.select(bit.alias("bit")).groupBy((F.col("bit") / 64).cast("int").alias("id")).agg(
+
+def _bitmap(keys: DataFrame, bits: int) -> Column:
+    """One array of longs in which the bit of every key is set, as a scalar subquery."""
+    words = keys.select(_bit(F.col("key"), bits).alias("bit")).groupBy((F.col("bit") / 64).cast("int").alias("id")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("word"))
-    every = spark.range(bits // 64).select(F.col("id").cast("int").alias("id")).join(words, "id", "left")
+    every = keys.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("id")).join(words, "id", "left")
     listed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0)).alias("word"))))
     return every.agg(F.transform(listed, lambda x: x["word"]).alias("bitmap")).scalar()
 
 
+def _set_in(bitmap: Column, key: Column, bits: int) -> Column:
+    bit = _bit(key, bits)
+    return F.getbit(F.get(bitmap, (bit / 64).cast("int")), (bit % 64).cast("int")) == 1
+
+
+def item_windows(items: DataFrame, span: int) -> DataFrame:
+    """item_id, item_tokens, item_at, pair and window (token hashes) of the items that windows of this length fit."""
+    rows = items.select("item_id", tokens(F.col("text")).alias("toks")).withColumn("n", F.size("toks"))
+    rows = rows.where(F.col("n") >= span) if span == SPAN else rows.where(F.col("n") == span)
+    at = rows.select("item_id", "toks", "n", F.explode(F.sequence(F.lit(0), F.col("n") - span)).alias("item_at"))
+    return at.select(
+        "item_id", F.col("n").cast("long").alias("item_tokens"), "item_at", _pair(F.col("toks"), F.col("item_at"), span).alias("pair"),
+        F.slice("toks", F.col("item_at") + 1, span).alias("window"),
+    ).distinct()
+
+
 def overlaps(docs: DataFrame, items: DataFrame, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
     """Verified overlaps of documents with benchmark items."""
     short = [r.n for r in items.select(F.size(tokens(F.col("text"))).alias("n")).where(f"n between 1 and {SPAN - 1}").distinct().collect()]
-    plan = _plan(sorted(short))  # at most SPAN - 1 lengths
-    seeds = item_seeds(items, plan)
-    bitmap = _bitmap(seeds, bitmap_bits)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens(F.col("text")).alias("toks"))
-    least = min(span for span, _, _ in plan)
-    at = rows.where(F.size("toks") >= least).select("doc_id", "toks", F.explode(F.sequence(F.lit(0), F.size("toks") - least)).alias("at"))
-
-    def found(number, span, positions):
-        seed = _seed(F.col("toks"), F.col("at"), number, positions)
-        bit = F.pmod(seed, F.lit(bitmap_bits))
-        hit = F.getbit(F.get(bitmap, (bit / 64).cast("int")), (bit % 64).cast("int")) == 1
-        whole = F.col("at") + span <= F.size("toks")
-        return F.when(whole & hit, F.struct(F.lit(number).alias("mask"), seed.alias("seed"), F.slice("toks", F.col("at") + 1, span).alias("own")))
-
-    hits = F.array_compact(F.array(*(found(k, span, positions) for k, (span, positions, _) in enumerate(plan))))
-    hits = at.select("doc_id", F.explode(hits).alias("hit")).select("doc_id", "hit.*", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
-    salted = seeds.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    pairs = hits.join(salted, ["mask", "seed", "salt"])
-    agree = F.size(F.filter(F.zip_with("own", "window", lambda a, b: a == b), lambda x: x))
-    enough = F.lit(AGREE)
-    for k, (span, _, n) in enumerate(plan):
-        if span != SPAN:
-            enough = F.when(F.col("mask") == k, n).otherwise(enough)
-    windows = pairs.where(agree >= enough).select("doc_id", "item_id", "item_tokens", "item_at", F.size("window").alias("span"))
-    each = windows.distinct()
-    starts = each.groupBy("doc_id", "item_id", "item_tokens").agg(F.collect_list("item_at").alias("starts"), F.max("span").alias("span"))
+    parts = []
+    for span, masks in _spans(sorted(short)).items():  # at most SPAN lengths
+        windows = item_windows(items, span).withColumn("seeds", _seeds("window", span, masks))
+        known = windows.select(F.posexplode("seeds").alias("mask", "seed"), "item_id", "item_tokens", "item_at", "window")
+        bitmap = _bitmap(windows.select(F.col("pair").alias("key")).union(known.select("seed")), bitmap_bits)
+        # Up to a window's tokens there are only functions with generated code, in little of it: else a
+        # text's tokens would be copied for each of its windows. The explode of one value keeps the
+        # seeds' functions, which have none, out of that step.
+        at = rows.where(F.size("toks") >= span).select("doc_id", "toks", F.explode(F.sequence(F.lit(0), F.size("toks") - span)).alias("at"))
+        at = at.where(_set_in(bitmap, _pair(F.col("toks"), F.col("at"), span), bitmap_bits))
+        own = at.select("doc_id", F.explode(F.array(F.slice("toks", F.col("at") + 1, span))).alias("own"))
+        hits = own.select("doc_id", "own", _seeds("own", span, masks).alias("seeds")).select("doc_id", "own", F.posexplode("seeds").alias("mask", "seed"))
+        hits = hits.where(_set_in(bitmap, F.col("seed"), bitmap_bits)).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+        salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        pairs = hits.join(salted, ["mask", "seed", "salt"])
+        agree = F.size(F.filter(F.zip_with("own", "window", lambda a, b: a == b), lambda x: x))
+        parts.append(pairs.where(agree >= (AGREE if span == SPAN else span)).select("doc_id", "item_id", "item_tokens", "item_at", F.lit(span).alias("span")))
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    starts = found.distinct().groupBy("doc_id", "item_id", "item_tokens").agg(F.collect_list("item_at").alias("starts"), F.max("span").alias("span"))
     covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("span") - 1))))
     return starts.select("doc_id", "item_id", F.size("starts").cast("long").alias("n_windows"), F.size(covered).cast("long").alias("n_tokens"), "item_tokens")
 
