@@ -37,11 +37,14 @@ def rating_share_by_category(reviews: DataFrame) -> DataFrame:
     ).orderBy(CAT, "star_rating")
 
 
+def rating_counts(reviews: DataFrame) -> DataFrame:
+    """The counts of Q3, unsorted: what Q4-Q6 start from."""
+    return reviews.groupBy("marketplace", CAT, "star_rating").agg(F.count("review_id").alias(N))
+
+
 def rating_counts_by_marketplace(reviews: DataFrame) -> DataFrame:
-    """Q3: reviews per (marketplace, category, star); star descending."""
-    return _count_reviews(reviews, "marketplace", CAT, "star_rating").orderBy(
-        "marketplace", CAT, F.desc("star_rating")
-    )
+    """Q3: reviews per (marketplace, category, star)."""
+    return rating_counts(reviews).orderBy("marketplace", CAT, F.desc("star_rating"))
 
 
 def star_share_by_marketplace(rating_counts: DataFrame, star: int) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.operators.customers import salted_join
 from revlens.operators.neighbours import neighbour_pairs
 
 MODES = ("documented", "as_written")
@@ -100,7 +101,7 @@ def _factorised_counts(pos: DataFrame, n_users: Column, excluded: DataFrame | No
     and (documented mode) the number of neighbours each user excludes."""
     n_negative = n_users - F.lit(1)
     if excluded is not None:
-        pos = pos.join(excluded, "user_id", "left")
+        pos = salted_join(pos, excluded, "user_id", "positive_user_id", "left")
         n_negative = n_negative - F.coalesce(F.col("n_excluded"), F.lit(0))
     n_negative = n_negative.cast("long")
     return pos.select(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import SparkSession
 
@@ -51,9 +50,10 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins. ``fallback`` is used only when no folder is
-    configured (local tests): it is registered with the SparkContext, since
-    the setting itself cannot change on a running session.
+    The cluster's setting wins. Where it is unset, ``fallback`` (tests) or a
+    folder in the session's warehouse, which driver and executors share, is
+    registered with the SparkContext, since the setting itself cannot change on
+    a running session.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -63,8 +63,6 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if registered.isDefined():
         return registered.get()
     if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    if "://" not in fallback:
-        os.makedirs(fallback, exist_ok=True)
+        fallback = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/revlens-checkpoints"
     sc.setCheckpointDir(fallback)
     return fallback

@@ -35,7 +35,6 @@ from revlens.sources.readers import (
     read_pairs,
     read_purchases,
     read_reviews,
-    spread_if_narrow,
 )
 from revlens.sources.sinks import write_parquet
 
@@ -51,6 +50,7 @@ NEIGHBOUR_PAIRS_DIR = "part_2_2_pairs"
 LIST_FORMATS = ("lists", "pairs")
 TRIPLES_DIR = "part_2_3"
 TRIPLE_COUNTS_DIR = "part_2_3_counts"
+TRIPLE_USERS_DIR = "part_2_3_users"
 
 
 @dataclass
@@ -80,16 +80,15 @@ def stage_common_customers(
     more_than_music: int | str = 5,
     qualified_files: int | None = None,
     pairs_files: int | None = None,
-    staged: str = "grid",
+    staged: str = "purchases",
 ) -> StageResult:
     """Stage 1: qualified customers (thresholds are strict) and the staged rows.
 
     Thresholds may arrive as strings from a job launcher; they become ints
     here. The staged rows for stage 2 are not filtered by the thresholds:
-    ``staged="grid"`` writes the (book, music) pairs of every common customer
-    (the hand-off contract); ``"purchases"`` writes the purchases stage 2
-    derives from them, which grow linearly instead of with books x music per
-    customer.
+    ``staged="purchases"`` writes the purchases of every common customer, which
+    grow linearly; ``"grid"`` writes the (book, music) pairs they are derived
+    from, which grow with books x music per customer: for small inputs only.
     """
     if staged not in STAGED_FORMATS:
         raise ValueError(f"staged must be one of {STAGED_FORMATS}")
@@ -111,26 +110,26 @@ def stage_neighbours(
     pairs_path: str,
     out_dir: str,
     lists_files: int | None = None,
-    list_format: str = "lists",
-    staged: str = "grid",
+    list_format: str = "pairs",
+    staged: str = "purchases",
 ) -> StageResult:
     """Stage 2: purchases from the staged rows, neighbour edges, lists.
 
     ``staged`` names what stage 1 wrote: the pair grid, split back into
     purchases here, or the purchases themselves.
 
-    ``list_format="lists"`` writes one array per customer (the hand-off
-    contract); ``"pairs"`` writes the same multiset as (customer, neighbour,
-    n_shared) rows, which no hot customer can grow into one huge row.
+    ``list_format="pairs"`` writes (customer, neighbour, n_shared) rows, which no
+    hot customer can grow into one huge row; ``"lists"`` writes the same multiset
+    as one array per customer: only where no customer has many neighbours.
     """
     if list_format not in LIST_FORMATS:
         raise ValueError(f"list_format must be one of {LIST_FORMATS}")
     if staged not in STAGED_FORMATS:
         raise ValueError(f"staged must be one of {STAGED_FORMATS}")
     if staged == "grid":
-        purchases = customer_purchases_from_pairs(spread_if_narrow(read_pairs(spark, pairs_path)))
+        purchases = customer_purchases_from_pairs(read_pairs(spark, pairs_path))
     else:
-        purchases = spread_if_narrow(read_purchases(spark, pairs_path))
+        purchases = read_purchases(spark, pairs_path)
     edges = neighbour_edges(purchases)
     result = StageResult()
     if list_format == "lists":
@@ -145,23 +144,26 @@ def stage_triples(
     lists_path: str,
     out_dir: str,
     mode: str = "documented",
-    expand: bool = True,
+    expand: bool = False,
     triples_files: int | None = None,
-    list_format: str = "lists",
+    list_format: str = "pairs",
 ) -> StageResult:
     """Stage 3: triples (``expand``) or their exact factorised counts.
 
     Reads stage 2's lists or, with ``list_format="pairs"``, its long form.
-    The expanded bag is quadratic in the number of users; the counts are
-    linear and carry the same information together with the lists.
+    The expanded bag is quadratic in the number of users, and is for small
+    inputs only. The counts are linear, and the users are written next to them:
+    a user's triples are, for each of its positives ``n_positive`` times, all
+    other users (documented: but its neighbours) as negatives, so the two tables
+    and the neighbour pairs carry the whole bag.
     """
     if list_format not in LIST_FORMATS:
         raise ValueError(f"list_format must be one of {LIST_FORMATS}")
     if list_format == "lists":
-        source = spread_if_narrow(read_neighbour_lists(spark, lists_path))
+        source = read_neighbour_lists(spark, lists_path)
         expanded, counted = user_triples, user_triple_counts
     else:
-        source = spread_if_narrow(read_neighbour_pairs(spark, lists_path))
+        source = read_neighbour_pairs(spark, lists_path)
         expanded, counted = user_triples_from_pairs, user_triple_counts_from_pairs
     result = StageResult()
     if expand:
@@ -169,6 +171,8 @@ def stage_triples(
     else:
         counts = counted(source, mode)
         _write_counted(counts, _join(out_dir, TRIPLE_COUNTS_DIR), "triple_counts", triples_files, result)
+        written = spark.read.parquet(_join(out_dir, TRIPLE_COUNTS_DIR))
+        _write_counted(written.select("user_id").distinct(), _join(out_dir, TRIPLE_USERS_DIR), "triple_users", None, result)
     return result
 
 
@@ -180,15 +184,15 @@ def build_training_set(
     more_than_books: int | str = 4,
     more_than_music: int | str = 5,
     mode: str = "documented",
-    expand: bool = True,
+    expand: bool = False,
     file_counts: dict[str, int] | None = None,
-    list_format: str = "lists",
-    staged: str = "grid",
+    list_format: str = "pairs",
+    staged: str = "purchases",
 ) -> StageResult:
     """Run stages 1-3 in order; each reads what the one before wrote.
 
-    ``staged="purchases"`` and ``list_format="pairs"`` make every hand-off
-    linear in the data; the defaults keep the original hand-off formats.
+    Every hand-off is linear in the data; ``staged="grid"``,
+    ``list_format="lists"`` and ``expand=True`` choose the quadratic formats.
     """
     files = file_counts or {}
     result = stage_common_customers(
@@ -230,16 +234,16 @@ def main(argv: list[str] | None = None) -> StageResult:
     parser.add_argument("--more-than-books", default="4")
     parser.add_argument("--more-than-music", default="5")
     parser.add_argument("--mode", default="documented", choices=["documented", "as_written"])
-    parser.add_argument("--counts-only", action="store_true", help="stage 3 writes factorised counts")
-    parser.add_argument("--list-format", default="lists", choices=list(LIST_FORMATS))
-    parser.add_argument("--staged", default="grid", choices=list(STAGED_FORMATS))
+    parser.add_argument("--expand", action="store_true", help="stage 3 writes all triples (quadratic)")
+    parser.add_argument("--list-format", default="pairs", choices=list(LIST_FORMATS))
+    parser.add_argument("--staged", default="purchases", choices=list(STAGED_FORMATS))
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"revlens-training-set-{args.stage}").getOrCreate()
     if args.stage == "all":
         return build_training_set(
             spark, args.books, args.music, args.out, args.more_than_books, args.more_than_music,
-            args.mode, expand=not args.counts_only, list_format=args.list_format, staged=args.staged,
+            args.mode, expand=args.expand, list_format=args.list_format, staged=args.staged,
         )
     if args.stage == "common-customers":
         return stage_common_customers(
@@ -249,7 +253,7 @@ def main(argv: list[str] | None = None) -> StageResult:
     if args.stage == "neighbours":
         return stage_neighbours(spark, args.source, args.out, list_format=args.list_format, staged=args.staged)
     return stage_triples(
-        spark, args.source, args.out, args.mode, expand=not args.counts_only, list_format=args.list_format
+        spark, args.source, args.out, args.mode, expand=args.expand, list_format=args.list_format
     )
 
 

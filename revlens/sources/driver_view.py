@@ -15,14 +15,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.sources.readers import spread_if_narrow
 from revlens.sources.schemas import BOOKS, CATEGORY_COL, MUSIC, REVIEW_SCHEMA
 
 # Part types that make up each category.
 BOOK_TYPES = ("ECONOMY", "STANDARD")
 MUSIC_TYPES = ("PROMO", "SMALL")
-# Fixed value: review bodies come from document ``l_partkey % 200``.
-BODY_DOCUMENTS = 200
 
 REVIEW_COLUMNS = tuple(f.name for f in REVIEW_SCHEMA.fields) + (CATEGORY_COL,)
 _NEEDS_CUSTOMER_DIM = {"marketplace"}
@@ -55,10 +52,8 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
             F.when(F.col("p_type").isin(*BOOK_TYPES), F.lit(BOOKS)).otherwise(F.lit(MUSIC)).alias(CATEGORY_COL),
         )
     )
-    lines = spread_if_narrow(
-        _table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
-        )
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
 
@@ -91,14 +86,12 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
 
     body = F.lit(None).cast("string")
     if wanted & _NEEDS_DOCUMENTS:
-        # Only doc ids in (-200, 200) can match ``l_partkey % 200``: the range
-        # filter reaches the scan and keeps the build side to a few hundred rows.
-        docs = (
-            _table(spark, sf_dir, "documents")
-            .where((F.col("doc_id") > -BODY_DOCUMENTS) & (F.col("doc_id") < BODY_DOCUMENTS))
-            .select("doc_id", "text")
-        )
-        rev = rev.join(docs, (rev.l_partkey % BODY_DOCUMENTS) == docs.doc_id, "left")
+        # Lines go round all documents; the number of documents is a scalar
+        # subquery. Spark picks the join by size.
+        documents = _table(spark, sf_dir, "documents")
+        n_documents = documents.select(F.count(F.lit(1))).scalar()
+        docs = documents.select("doc_id", "text")
+        rev = rev.join(docs, ((rev.l_orderkey + rev.l_linenumber) % n_documents) == docs.doc_id, "left")
         body = F.col("text")
 
     quantity = F.col("l_quantity").cast("int")

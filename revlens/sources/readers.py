@@ -65,21 +65,6 @@ def split_categories(reviews: DataFrame, books: str = BOOKS, music: str = MUSIC)
     return reviews.where(cat == books), reviews.where(cat == music)
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan is narrower.
-
-    A parquet file splits only at row-group boundaries, so a table written as
-    one row group scans in one task and everything up to the first shuffle
-    runs single-threaded. A large table already has at least as many splits as
-    there are cores and is returned unchanged (no extra exchange); only a
-    narrow scan pays one cheap exchange to spread the per-row work.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Staged common-customer pairs (stage 1 -> stage 2 hand-off)."""
     return spark.read.schema(PAIR_SCHEMA).parquet(path)

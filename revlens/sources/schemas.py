@@ -74,6 +74,3 @@ NEIGHBOUR_PAIR_SCHEMA = StructType(
         StructField("n_shared", LongType(), True),
     ]
 )
-
-QUALIFIED_SCHEMA_NAMES = ("customer_id_books", "num_books_products", "num_music_products")
-TRIPLE_COLUMNS = ("user_id", "positive_user_id", "negative_user_id")
