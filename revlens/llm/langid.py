@@ -8,10 +8,9 @@ hash, a documented bound): the whole texts, and two short runs of words of each
 so that short texts are learned too. Because averaging and the softmax layer
 are both linear, scoring uses their product: one row of class scores a bucket.
 
-Probabilities are calibrated on a fifth of the sample with a temperature, and
-a text is rejected (``accepted`` false) when its probability is under the
-lowest threshold at which at most ``max_error`` of the accepted calibration
-texts are wrong.
+Probabilities are calibrated on a fifth of the sample with a temperature. A
+text is rejected (``accepted`` false) when its calibrated probability is under
+``least``, by default a half: its language is then more likely wrong than right.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and rejected; repeated rows give a result row each; without training rows every
@@ -113,7 +112,7 @@ def _sparse(texts: list[str], buckets: int):
     return np.concatenate(ids or [np.zeros(0, np.int32)]), np.concatenate(share or [np.zeros(0, np.float32)]), np.array(offs)
 
 
-def fit_model(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 8, rate: float = 0.5, batch: int = 64, buckets: int = BUCKETS, max_error: float = 0.01) -> LanguageModel:
+def fit_model(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 8, rate: float = 0.5, batch: int = 64, buckets: int = BUCKETS, least: float = 0.5) -> LanguageModel:
     names = sorted(set(langs))
     if not names:
         return LanguageModel([], np.zeros((buckets, 0), np.float32), np.zeros(0), 1.0, 1.0)
@@ -167,10 +166,7 @@ def fit_model(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 8
     logits = np.vstack([(share[offs[k] : offs[k + 1], None] * scores[ids[offs[k] : offs[k + 1]]]).sum(axis=0) for k in cal]) + bias
     grid = np.geomspace(0.1, 10, 41)
     temperature = float(grid[np.argmin([-np.log(_softmax(logits / t)[np.arange(len(cal)), y[cal]] + 1e-12).mean() for t in grid])])
-    p = _softmax(logits / temperature)
-    sure, right = p.max(axis=1), p.argmax(axis=1) == y[cal]
-    threshold = next((t for t in np.arange(0.3, 0.91, 0.05) if (~right & (sure >= t)).sum() <= max_error * max(1, (sure >= t).sum())), 0.9)
-    return LanguageModel(names, scores.astype(np.float32), bias.astype(float), temperature, float(threshold))
+    return LanguageModel(names, scores.astype(np.float32), bias.astype(float), temperature, least)
 
 
 def fit_languages(docs: DataFrame, per_lang: int = 600) -> LanguageModel:
