@@ -146,6 +146,15 @@ def _kernel_rows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return word, ids, weight / norm[word]
 
 
+def _word_values(words: list[bytes], vector: np.ndarray, step: int = 8192) -> np.ndarray:
+    """Value of every word, some words at a time: their subsequences are many."""
+    out = [np.zeros(0)]
+    for lo in range(0, len(words), step):
+        word, ids, value = _kernel_rows(words[lo : lo + step])
+        out.append(np.bincount(word, vector[ids] * value, len(words[lo : lo + step])))
+    return np.concatenate(out)
+
+
 def _with_landmarks(words: list[bytes], place: np.ndarray, marks: np.ndarray, step: int = 4096) -> np.ndarray:
     """Kernel of words with landmarks; ``marks`` has a column for each landmark, ``place`` the row of a subsequence in it."""
     out = np.zeros((len(words), marks.shape[1]), np.float32)
@@ -227,7 +236,6 @@ def fit_model(texts: list[str], labels: np.ndarray, n_landmarks: int = 384, turn
     use = lam > 1e-6 * lam.max()
     root = u[:, use] / np.sqrt(lam[use])
     cols, offs = np.concatenate(members), np.cumsum([0, *map(len, members)])
-    all_word, all_ids, all_value = _kernel_rows(names)
     score = np.where(bad > 0, typical, odds - 5)
     chosen: set[int] = set()
     vector, bias = np.zeros(SIZE, np.float32), 0.0
@@ -246,14 +254,14 @@ def fit_model(texts: list[str], labels: np.ndarray, n_landmarks: int = 384, turn
         beta, bias = _svm(x, target, weight)
         # One weight for each subsequence.
         vector = (wide @ (root @ beta)).astype(np.float32)[place]
-        score = np.bincount(all_word, vector[all_ids] * all_value, len(names)) + bias
+        score = _word_values(names, vector) + bias
     rows = held if held.any() else np.ones(len(y), bool)
     word_row = np.repeat(np.arange(len(y)), np.diff(offs))
     x = text_features(score[cols], word_row, len(y))
     return ToxicityModel(vector, bias, _logistic(x[rows], y[rows].astype(float)))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_toxic: int = 2_000, max_clean: int = 4_000) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_toxic: int = 1_500, max_clean: int = 3_000) -> ToxicityModel:
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("double").alias("toxic")).dropna()
     marked = marked.where(remainder("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = F.broadcast(first_by_hash(marked.where("toxic >= 0.5"), "doc_id", max_toxic).unionByName(first_by_hash(marked.where("toxic < 0.5"), "doc_id", max_clean)))
