@@ -83,6 +83,18 @@ def _parity(s: np.ndarray) -> list[int]:
     return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
 
+def _pack(own: np.ndarray) -> tuple[bytes, bytes]:
+    """Which of a part's buckets are not empty, as bits, and their counts less one, low bytes first."""
+    rest = own[own > 0] - np.uint32(1)
+    return zlib.compress(np.packbits(own > 0).tobytes(), 1), zlib.compress(rest.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _add(own: np.ndarray, places: bytes, counts: bytes) -> None:
+    """Add a packed part to ``own``."""
+    rest = np.frombuffer(zlib.decompress(counts), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+    own[np.unpackbits(np.frombuffer(zlib.decompress(places), np.uint8)).astype(bool)] += rest + np.uint64(1)
+
+
 def _first_pass(width: int):
     """Rows of documents (doc_id, n, sid, parity) and of sketch parts (part, places, counts)."""
     names = ["doc_id", "n", "sid", "parity", "part", "places", "counts"]
@@ -104,9 +116,9 @@ def _first_pass(width: int):
             yield row(ids, n, sid, parity)
         for part in range(len(sketch) // _PART):
             own = sketch[part * _PART : (part + 1) * _PART]
-            at = np.flatnonzero(own)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()), pa.array([zlib.compress(at.astype(np.uint16).tobytes(), 1)], pa.binary()), pa.array([zlib.compress(own[at].tobytes(), 1)], pa.binary())], names)
+            if own.any():
+                places, counts = _pack(own)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()), pa.array([places], pa.binary()), pa.array([counts], pa.binary())], names)
 
     return run, "doc_id long, n long, sid long, parity array<long>, part int, places binary, counts binary"
 
@@ -116,8 +128,7 @@ def _add_up(batches):
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, places, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            own = total.setdefault(part, np.zeros(_PART, np.uint64))
-            own[np.frombuffer(zlib.decompress(places), np.uint16)] += np.frombuffer(zlib.decompress(counts), np.uint32)
+            _add(total.setdefault(part, np.zeros(_PART, np.uint64)), places, counts)
     for part, own in total.items():
         level = np.minimum(np.ceil(8 * np.log2(1 + own.astype(float))), 255).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["part", "levels"])
@@ -133,7 +144,8 @@ def _levels(first: DataFrame) -> np.ndarray:
 
 
 def _prefixes(shared, width: int, percent: int):
-    names = ["token", "salt", "salts", "sid", "n", "pos", "score"]
+    """Rows of prefix shingles; ``size`` holds n and pos, ``rank`` the class's score and the shingle's level."""
+    names = ["token", "sid", "size", "rank"]
 
     def run(batches):
         levels, seen = shared.value, set()
@@ -148,15 +160,31 @@ def _prefixes(shared, width: int, percent: int):
                     level = levels[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
                     length = len(s) - -(-percent * len(s) // 100) + 1
                     order = np.lexsort((s, level))[:length]
-                    # Of the salts a shingle's buckets have, this class takes one.
-                    salts = np.maximum(1, np.ceil(2.0 ** (level[order] / 8.0) / SALT_ROWS)).astype(np.int64)
-                    out.append((s[order].view(np.int64), (sid & 0x7FFFFFFF) % salts, salts, np.full(length, sid, np.int64), np.full(length, len(s), np.int32), np.arange(length, dtype=np.int32), np.full(length, int(level.mean() * 256), np.int32)))
+                    out.append((s[order].view(np.int64), np.full(length, sid, np.int64), np.arange(length) + (len(s) << 32), (int(level.mean() * 256) << 8) + level[order].astype(np.int32)))
                 if out:
-                    cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                    cols[1:3] = cols[1].astype(np.int32), cols[2].astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names)
+
+    return run, "token long, sid long, size long, rank int"
+
+
+def _meetings(prefixes: DataFrame) -> DataFrame:
+    """Prefix rows that meet another class in their bucket, with the bucket's leader.
 
-    return run, "token long, salt int, salts int, sid long, n int, pos int, score int"
+    Of the salts a shingle's buckets have, a class takes one; it is mixed into
+    the shingle's hash, so that rows are shuffled by a single key.
+    """
+    level, first = F.col("rank").bitwiseAND(F.lit(255)), F.col("sid").bitwiseAND(F.lit(0x7FFFFFFF))
+    salts = F.greatest(F.lit(1), F.ceil(F.pow(F.lit(2.0), level / 8) / SALT_ROWS))
+    salt = (first % salts).cast("int")
+    salted = lambda column: F.when(salt > 0, F.col(column).bitwiseXOR(F.xxhash64(salt))).otherwise(F.col(column))
+    bucket = Window.partitionBy("key")
+    met = prefixes.select(salted("token").alias("key"), "sid", "size", "rank")
+    met = met.withColumn("lead", F.max(F.struct("rank", "sid", "size")).over(bucket)).withColumn("alone", F.min("sid").over(bucket) == F.max("sid").over(bucket))
+    n, pos = lambda c: F.shiftright(c, 32).cast("int"), lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    lead = F.struct(F.shiftright("lead.rank", 8).alias("score"), F.col("lead.sid").alias("sid"), n("lead.size").alias("n"), pos("lead.size").alias("pos"))
+    return met.where(~F.col("alone") | (salts > 1)).select(
+        salted("key").alias("token"), salt.alias("salt"), salts.cast("int").alias("salts"), "sid", n("size").alias("n"), pos("size").alias("pos"), lead.alias("lead")
+    )
 
 
 def _may_link(n1, p1, n2, p2, percent: int) -> Column:
@@ -247,10 +275,7 @@ def similarity_components(docs: DataFrame, width: int = 4, percent: int = 85) ->
     sets = _Sets(own, classes, width, percent)
 
     run, schema = _prefixes(shared, width, percent)
-    bucket = Window.partitionBy("token", "salt")
-    met = own.select("text").mapInArrow(run, schema)
-    met = met.withColumn("lead", F.max(F.struct("score", "sid", "n", "pos")).over(bucket)).withColumn("alone", F.min("sid").over(bucket) == F.max("sid").over(bucket))
-    met = stored(met.where("not alone or salts > 1").drop("alone", "score"), "jaccard-met")
+    met = stored(_meetings(own.select("text").mapInArrow(run, schema)), "jaccard-met")
     with_lead = met.where((F.col("sid") != F.col("lead.sid")) & _may_link(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), percent))
     # The leaders of a salted shingle's buckets, with the first among them.
     leads = met.where("salts > 1").select("token", "lead").distinct().withColumn("top", F.max("lead").over(Window.partitionBy("token")))
