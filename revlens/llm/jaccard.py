@@ -171,7 +171,8 @@ def _meetings(prefixes: DataFrame) -> DataFrame:
     """Prefix rows that meet another class in their bucket, with the bucket's leader.
 
     Of the salts a shingle's buckets have, a class takes one; it is mixed into
-    the shingle's hash, so that rows are shuffled by a single key.
+    the shingle's hash, so that rows are shuffled by a single key. Rows of a
+    class that several tasks have emitted fall into one here.
     """
     level, first = F.col("rank").bitwiseAND(F.lit(255)), F.col("sid").bitwiseAND(F.lit(0x7FFFFFFF))
     salts = F.greatest(F.lit(1), F.ceil(F.pow(F.lit(2.0), level / 8) / SALT_ROWS))
@@ -179,10 +180,11 @@ def _meetings(prefixes: DataFrame) -> DataFrame:
     salted = lambda column: F.when(salt > 0, F.col(column).bitwiseXOR(F.xxhash64(salt))).otherwise(F.col(column))
     bucket = Window.partitionBy("key")
     met = prefixes.select(salted("token").alias("key"), "sid", "size", "rank")
+    met = met.withColumn("before", F.lag("sid").over(bucket.orderBy("sid")))
     met = met.withColumn("lead", F.max(F.struct("rank", "sid", "size")).over(bucket)).withColumn("alone", F.min("sid").over(bucket) == F.max("sid").over(bucket))
     n, pos = lambda c: F.shiftright(c, 32).cast("int"), lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     lead = F.struct(F.shiftright("lead.rank", 8).alias("score"), F.col("lead.sid").alias("sid"), n("lead.size").alias("n"), pos("lead.size").alias("pos"))
-    return met.where(~F.col("alone") | (salts > 1)).select(
+    return met.where((~F.col("alone") | (salts > 1)) & ~F.col("sid").eqNullSafe(F.col("before"))).select(
         salted("key").alias("token"), salt.alias("salt"), salts.cast("int").alias("salts"), "sid", n("size").alias("n"), pos("size").alias("pos"), lead.alias("lead")
     )
 
@@ -289,7 +291,7 @@ def similarity_components(docs: DataFrame, width: int = 4, percent: int = 85) ->
     sizes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"), F.max("salts").alias("salts"))
     mixed = sizes.groupBy("token").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count("*").alias("k"), F.max("salts").alias("salts")).where("k > 1")
     mixed = mixed.select("token", "main", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    rest = stored(labelled.join(mixed, ["token", "salt"]).select("token", "sid", "n", "pos", "label", "main").distinct().join(classes.select("sid", "parity"), "sid"), "jaccard-rest")
+    rest = stored(labelled.join(mixed, ["token", "salt"]).select("token", "sid", "n", "pos", "label", "main").join(classes.select("sid", "parity"), "sid"), "jaccard-rest")
     x, y = rest.where("label <> main").alias("x"), rest.alias("y")
     across = x.join(
         y,
