@@ -5,6 +5,8 @@ that spans s characters weighs ``DECAY ** s`` and may span ``SPAN`` at most, so
 a gap or an inserted character lowers the weight instead of losing the match.
 The kernel is divided by both words' total weights, which depend on length
 alone. Digits and signs that stand for letters are read as those letters.
+A run of three or more single characters with spaces or signs between them
+("i d i o t", "i-d-i-o-t") is scored as one word too, besides the words themselves.
 
 Training takes at most ``max_toxic`` and ``max_clean`` labelled documents
 (smallest id hash, a documented bound) whose id remainder (crc32 mod 4) is not
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from .tables import first_by_hash, remainder, table
 from .textblocks import Block, blocks
 
-SPAN = 6
+SPAN = 7  # four letters with a sign between all of them
 DECAY = 0.7
 SYMBOLS = 64
 SIZE = 1 << 20  # subsequences are hashed into so many weights
@@ -78,6 +80,34 @@ def trimmed_words(b: Block):
     return places[before[start]], places[before[end] - 1] + 1, row
 
 
+def joined_runs(b: Block, start: np.ndarray, end: np.ndarray):
+    """Bytes, start, end and row of the words that runs of three or more single characters make, without what is between them."""
+    edge = np.zeros(len(b.data) + 1, np.int64)
+    edge[start] += 1
+    edge[end] -= 1
+    solid = (np.cumsum(edge[:-1]) > 0) & (SYMBOL[b.data] != 0)
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    # words of two rows may touch
+    first[start] = solid[start]
+    last[end - 1] = solid[end - 1]
+    lo, hi = np.flatnonzero(first), np.flatnonzero(last) + 1
+    row = np.searchsorted(b.offs, lo, side="right") - 1
+    chars = np.zeros(len(b.data) + 1, np.int64)
+    np.cumsum((b.data & 0xC0) != 0x80, out=chars[1:])
+    single = np.flatnonzero(chars[hi] - chars[lo] == 1)
+    begins = np.flatnonzero(np.r_[True, (np.diff(single) > 1) | (np.diff(row[single]) > 0)]) if len(single) else single
+    size = np.diff(np.r_[begins, len(single)])
+    single = single[np.repeat(size >= 3, size)]
+    size = size[size >= 3]
+    length = hi[single] - lo[single]
+    place = np.arange(int(length.sum())) + np.repeat(lo[single] - (np.cumsum(length) - length), length)
+    pieces = np.r_[0, np.cumsum(size)].astype(np.int64)
+    bounds = np.r_[0, np.cumsum(length)].astype(np.int64)[pieces]
+    return b.data[place], bounds[:-1], bounds[1:], row[single[pieces[:-1]]]
+
+
 def subsequences(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     """(word, subsequence id, weight) arrays over all given words, and each word's norm."""
     length = end - start + 2
@@ -112,7 +142,12 @@ def word_scores(b: Block, vector: np.ndarray):
     _, first, back = np.unique(b.hashes(start, end), return_index=True, return_inverse=True)
     word, ids, weight, norm = subsequences(b.data, start[first], end[first])
     score = np.bincount(word, vector[ids] * weight, len(first)) / norm
-    return score[back], row
+    data, lo, hi, their_row = joined_runs(b, start, end)
+    if not len(lo):
+        return score[back], row
+    word, ids, weight, norm = subsequences(data, lo, hi)
+    joined = np.bincount(word, vector[ids] * weight, len(lo)) / norm
+    return np.concatenate([score[back], joined]), np.concatenate([row, their_row])
 
 
 def text_features(score: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
