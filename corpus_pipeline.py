@@ -9,7 +9,8 @@ last return the columns of ``documents``, further ones included.
 
 Rows of one doc_id are one document: its decisions hold for all of them, and
 equal rows fall into one. Rows of null doc_id are kept or dropped one by one by
-language, and are never copies of another. An empty table passes all stages.
+language and, by their texts, by decontamination, and are never copies of
+another. An empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -42,8 +43,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that overlap with a benchmark item."""
-    found = decontam.overlaps(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    # A null id equals no other: such a row is known by its text.
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
+    found = decontam.overlaps(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("_key")).distinct()
+    return docs.withColumn("_key", key).join(found, "_key", "left_anti").select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
