@@ -3,10 +3,14 @@
 Texts are lower-cased and split at everything but letters and digits. A seed
 is the hash of seven of twelve neighbouring tokens, chosen by a fixed mask; the
 other five positions are ignored, so a changed token there loses nothing. Four
-masks together find all 16-token passages with up to two changed tokens and 98
+masks together hit all 16-token passages with up to two changed tokens and 98.2
 of 100 with three. Benchmark seeds are joined with the seeds of all documents,
-and each hit is verified on its twelve tokens: at least ten must agree. An item
-shorter than twelve tokens is sought as a whole, without tolerance.
+and each hit is verified on its twelve tokens: at least ten must agree. After
+that, 16-token passages are found in 100, 82.3 and 44.6 of 100 cases with two,
+three and four changed tokens, 15-token passages in 100, 70.5 and 26.5, and an
+item of just twelve tokens in 83.3 of 100 with one and 48.5 with two (all
+placements enumerated). An item shorter than twelve tokens is sought as a whole,
+without tolerance.
 
 All masks look at the first and the last of their tokens. A window is tested for
 that pair first, and its seeds after that, against a bitmap of the benchmark's
