@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, jaccard, katz, langid, packing, pii, quality, suffix_dedup, toxicity
+from . import chat, decontam, jaccard, katz, langid, lexical, packing, pii, quality, suffix_dedup, toxicity, variants
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity_string_kernel": toxicity.query,
         "op9_jaccard_join": jaccard.query,
         "op10_language_id": langid.query,
+        "op12_ranked_search": lexical.query,
+        "op13_spelling_variants": variants.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_spaced_seed_decontamination": decontam.SQL, "op4_chat_perspectives": chat.SQL}
+    return {
+        "op1_spaced_seed_decontamination": decontam.SQL,
+        "op4_chat_perspectives": chat.SQL,
+        "op12_ranked_search": lexical.SQL,
+    }
