@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, jaccard, katz, langid, lexical, packing, pii, quality, suffix_dedup, toxicity, variants
+from . import chat, decontam, jaccard, katz, langid, lexical, packing, pii, quality, secret_scan, suffix_dedup, toxicity, variants
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity_string_kernel": toxicity.query,
         "op9_jaccard_join": jaccard.query,
         "op10_language_id": langid.query,
+        "op11_secret_network": secret_scan.query,
         "op12_ranked_search": lexical.query,
         "op13_spelling_variants": variants.query,
     }
