@@ -15,13 +15,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revlens.operators import customers, neighbours, stats, triples
+from revlens.operators import complement, customers, neighbours, stats, triples
+from revlens.operators.addressable import AddressableTriples
 from revlens.plans.session import checkpoint_dir
 from revlens.plans.training_set import build_training_set
 from revlens.sources.driver_view import REVIEW_COLUMNS, driver_reviews
-from revlens.sources.readers import read_neighbour_pairs, read_reviews, split_categories, union_reviews
-from revlens.sources.schemas import BOOKS, MUSIC, PARTITION_COL
-from revlens.sources.sinks import write_parquet
+from revlens.sources.handoff import Workspace
+from revlens.sources.readers import read_reviews, split_categories, union_reviews
+from revlens.sources.schemas import BODY_LENGTH_COL, BOOKS, MUSIC, PARTITION_COL
 
 # The training-data operators are an optional subpackage. Only its absence is
 # accepted here; any other import error is a fault and is raised.
@@ -39,7 +40,7 @@ FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 _COUNT_COLS = ("review_id", "star_rating")
 _MARKET_COUNT_COLS = ("marketplace", "review_id", "star_rating")
 _HELPFUL_COLS = ("star_rating", "helpful_votes", "total_votes")
-_LENGTH_COLS = ("star_rating", "helpful_votes", "total_votes", "review_body")
+_LENGTH_COLS = ("star_rating", "helpful_votes", "total_votes", BODY_LENGTH_COL)
 _CUSTOMER_COLS = ("customer_id", "product_id")
 
 
@@ -55,14 +56,69 @@ def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.customer_purchases(*_sides(spark, sf_dir))
 
 
+def _staged_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchases, written once: the self-join counts, deals and joins them without deriving them again."""
+    return Workspace(spark, "purchases").stage(_purchases(spark, sf_dir), "purchases")
+
+
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.neighbour_edges(_purchases(spark, sf_dir))
+    return neighbours.neighbour_edges(_staged_purchases(spark, sf_dir))
+
+
+def _staged_pairs(spark: SparkSession, sf_dir: str, work: Workspace) -> DataFrame:
+    """Neighbour pairs as a stage of ``work``; the product self-join runs once, for the write."""
+    with Workspace(spark, "purchases") as own:
+        purchases = own.stage(_purchases(spark, sf_dir), "purchases")
+        return work.stage(neighbours.neighbour_pairs(neighbours.neighbour_edges(purchases)), "pairs")
 
 
 def _lists(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
     return neighbours.neighbour_lists(_edges(spark, sf_dir), ordered=ordered)
 
 
+def _finished(build: Callable[[Workspace], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """A result written as the one stage that is left; the stages it was built from are removed, also on failure."""
+    out = Workspace(spark, f"{name}-result")
+    with Workspace(spark, name) as work:
+        return out.stage(build(work), "result")
+
+
+#: Elements of one block of a neighbour list, and triples of a registered slice.
+LIST_BLOCK, SLICE = 100, 100_000
+
+
+def _list_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q16 in blocks of at most ``LIST_BLOCK`` elements."""
+    build = lambda work: neighbours.neighbour_list_blocks(_staged_pairs(spark, sf_dir, work), work, LIST_BLOCK)
+    return _finished(build, spark, "list-blocks")
+
+
+def _triple_slice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Q17/Q18: the ``SLICE`` triples from the middle of the bag on, by their numbers."""
+
+    def build(work: Workspace) -> DataFrame:
+        bag = AddressableTriples(_staged_pairs(spark, sf_dir, work), mode, work)
+        return bag.slice(bag.total // 2, bag.total // 2 + SLICE)
+
+    return _finished(build, spark, f"slice-{mode}")
+
+
+def _triple_digests(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Q17/Q18: per (user, positive) the count and digest of its negatives, without building them."""
+    return complement.triple_digests(_staged_pairs(spark, sf_dir, Workspace(spark, "pairs")), mode)
+
+
+def _factorised(spark: SparkSession, sf_dir: str) -> customers.FactorisedPairs:
+    """Q12 as blocks of products per customer and side, written once."""
+    pairs = customers.FactorisedPairs.of(*_sides(spark, sf_dir), size=GRID_BLOCK)
+    work = Workspace(spark, "grid")
+    return customers.FactorisedPairs(work.stage(pairs.books, "books"), work.stage(pairs.music, "music"))
+
+
+#: Products of one block of the factorised pair grid.
+GRID_BLOCK = 8
+
+
 def _rating_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.rating_counts_by_marketplace(_reviews(spark, sf_dir, _MARKET_COUNT_COLS))
 
@@ -95,9 +151,7 @@ def _triple_counts(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 
     The product self-join runs once, for the write; a lost executor later does not run it again.
     """
-    path = f"{_work_folder(spark, 'neighbour-pairs')}/pairs"
-    write_parquet(neighbours.neighbour_pairs(_edges(spark, sf_dir)), path)
-    return triples.user_triple_counts_from_pairs(read_neighbour_pairs(spark, path), mode)
+    return triples.user_triple_counts_from_pairs(_staged_pairs(spark, sf_dir, Workspace(spark, "pairs")), mode)
 
 
 def _training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,12 +201,17 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         # Q11
         "review_length_by_marketplace": lambda s, d: stats.review_length_by_marketplace(
-            _reviews(s, d, ("marketplace", "star_rating", "review_body"))
+            _reviews(s, d, ("marketplace", "star_rating", BODY_LENGTH_COL))
         ),
         # Q12
         "common_customer_pairs": lambda s, d: customers.common_customer_pairs(*_sides(s, d)),
         # Q13
         "qualified_common_customers": lambda s, d: customers.qualified_common_customers(*_sides(s, d), 4, 5),
+        # Q12 factorised; Q13 and Q14 taken from it without expanding it
+        "common_customer_pair_counts": lambda s, d: _factorised(s, d).counts(),
+        "qualified_from_factorised_pairs": lambda s, d: _factorised(s, d).qualified(4, 5),
+        "purchases_from_factorised_pairs": lambda s, d: _factorised(s, d).purchases(),
+        "common_customer_pairs_expanded": lambda s, d: _factorised(s, d).expand(),
         # Q14
         "customer_purchases": _purchases,
         # Q15
@@ -161,10 +220,20 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "neighbour_lists": lambda s, d: _lists(s, d, ordered=True),
         # Q16, long form
         "neighbour_pairs": lambda s, d: neighbours.neighbour_pairs(_edges(s, d)),
+        # Q15 + Q16, heavy products by cells of the matrix product: as it decides itself, and with every product heavy
+        "neighbour_pairs_by_cells": lambda s, d: neighbours.shared_product_counts(_staged_purchases(s, d)),
+        "neighbour_pairs_all_by_cells": lambda s, d: neighbours.shared_product_counts(_staged_purchases(s, d), heavy=0),
+        # Q16 in blocks
+        "neighbour_list_blocks": _list_blocks,
         # Q17, factorised
         "user_triple_counts_as_written": lambda s, d: _triple_counts(s, d, "as_written"),
         # Q18, factorised
         "user_triple_counts_documented": lambda s, d: _triple_counts(s, d, "documented"),
+        # Q17, Q18: aggregates over the negatives, and triples by their numbers
+        "user_triple_digests_as_written": lambda s, d: _triple_digests(s, d, "as_written"),
+        "user_triple_digests_documented": lambda s, d: _triple_digests(s, d, "documented"),
+        "user_triple_slice_as_written": lambda s, d: _triple_slice(s, d, "as_written"),
+        "user_triple_slice_documented": lambda s, d: _triple_slice(s, d, "documented"),
         # Q19
         "build_training_set": _training_set,
     }
@@ -277,9 +346,95 @@ FROM pos p CROSS JOIN nu {join_excluded}
 """
 
 
+_USERS = """
+users AS (SELECT DISTINCT customer_id FROM edges),
+linked AS (SELECT DISTINCT customer_id, neighbour_customer_id FROM edges),
+pos AS (
+  SELECT customer_id AS user_id, neighbour_customer_id AS positive_user_id, count(*) AS n_positive
+  FROM edges GROUP BY customer_id, neighbour_customer_id
+)"""
+
+
+def _negatives_sql(documented: bool, among: str) -> str:
+    """All (user, negative) pairs of the users in ``among``, built out."""
+    unlinked = "WHERE NOT EXISTS (SELECT 1 FROM linked k WHERE k.customer_id = u.user_id AND k.neighbour_customer_id = o.customer_id)"
+    return f"""
+  SELECT u.user_id, o.customer_id AS negative_user_id
+  FROM (SELECT DISTINCT user_id FROM {among}) u JOIN users o ON o.customer_id <> u.user_id
+  {unlinked if documented else ''}"""
+
+
+def _triple_digests_sql(documented: bool) -> str:
+    return f"""
+WITH {REVIEWS_SQL}, {_EDGES}, {_USERS},
+negatives AS ({_negatives_sql(documented, 'pos')}),
+per_user AS (
+  SELECT user_id, count(*) AS n, sum(CAST('0x' || substr(md5(negative_user_id), 1, 8) AS BIGINT)) AS digest
+  FROM negatives GROUP BY user_id
+)
+SELECT p.user_id, p.positive_user_id, p.n_positive,
+       CAST(coalesce(u.n, 0) AS BIGINT) AS n_negative, CAST(coalesce(u.digest, 0) AS BIGINT) AS negatives_digest
+FROM pos p LEFT JOIN per_user u USING (user_id)
+"""
+
+
+def _triple_slice_sql(documented: bool) -> str:
+    """The same numbering in plain SQL: triples before a row by a window, the slice's negatives built out and numbered."""
+    own = "(SELECT count(*) FROM linked k WHERE k.customer_id = p.user_id)" if documented else "0"
+    return f"""
+WITH {REVIEWS_SQL}, {_EDGES}, {_USERS},
+counted AS (SELECT p.*, (SELECT count(*) FROM users) - 1 - {own} AS n_negative FROM pos p),
+numbered AS (
+  SELECT *, sum(n_positive * n_negative) OVER (ORDER BY user_id, positive_user_id) - n_positive * n_negative AS first FROM counted
+),
+bounds AS MATERIALIZED (SELECT max(first + n_positive * n_negative) // 2 AS lo, max(first + n_positive * n_negative) // 2 + {SLICE} AS hi FROM numbered),
+touched AS (SELECT numbered.* FROM numbered, bounds WHERE first < hi AND first + n_positive * n_negative > lo),
+negatives AS ({_negatives_sql(documented, 'touched')}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY negative_user_id) - 1 AS k FROM negatives),
+occurrences AS (SELECT user_id, positive_user_id, first, n_negative, unnest(generate_series(0, n_positive - 1)) AS nth FROM touched),
+built AS (
+  SELECT CAST(first + nth * n_negative + k AS BIGINT) AS ordinal, user_id, positive_user_id, negative_user_id
+  FROM occurrences JOIN ranked USING (user_id)
+)
+SELECT built.* FROM built, bounds WHERE ordinal >= lo AND ordinal < hi
+"""
+
+
+def _list_blocks_sql() -> str:
+    return f"""
+WITH {REVIEWS_SQL}, {_EDGES},
+lists AS (
+  SELECT customer_id, list(neighbour_customer_id ORDER BY neighbour_customer_id) AS ids FROM edges GROUP BY customer_id
+),
+cut AS (SELECT *, unnest(generate_series(0, (len(ids) - 1) // {LIST_BLOCK})) AS block_no FROM lists)
+SELECT customer_id, CAST(block_no AS BIGINT) AS block_no, CAST(block_no * {LIST_BLOCK} AS BIGINT) AS "first",
+       ids[block_no * {LIST_BLOCK} + 1 : (block_no + 1) * {LIST_BLOCK}] AS neighbouring_user_ids
+FROM cut
+"""
+
+
 def _oracle() -> dict[str, str]:
     w = f"WITH {REVIEWS_SQL}"
+    pairs = f"""{w}, {_PAIRS}
+SELECT customer_id_books, product_id_books, customer_id_music, product_id_music FROM pairs"""
+    qualified = f"""{w}, {_PAIRS}
+SELECT customer_id_books,
+       count(DISTINCT product_id_books) AS num_books_products,
+       count(DISTINCT product_id_music) AS num_music_products
+FROM pairs GROUP BY customer_id_books
+HAVING count(DISTINCT product_id_books) > 4 AND count(DISTINCT product_id_music) > 5"""
+    shared = f"""{w}, {_EDGES}
+SELECT customer_id, neighbour_customer_id, count(*) AS n_shared
+FROM edges GROUP BY customer_id, neighbour_customer_id"""
     return {
+        "common_customer_pair_counts": f"""{w}, {_PAIRS}
+SELECT customer_id_books AS customer_id, count(*) AS n_pairs FROM pairs GROUP BY customer_id_books""",
+        "common_customer_pairs_expanded": pairs,
+        "qualified_from_factorised_pairs": qualified,
+        "purchases_from_factorised_pairs": f"""{w}, {_PURCHASES}
+SELECT customer_id, product_id FROM purchases""",
+        "neighbour_pairs_by_cells": shared,
+        "neighbour_pairs_all_by_cells": shared,
         "reviews_share_by_category": f"""{w}
 SELECT productCategory, count(review_id) AS n_reviews,
        count(review_id) / sum(count(review_id)) OVER () * 100 AS reviews_percent
@@ -332,14 +487,8 @@ FROM reviews GROUP BY productCategory, star_rating ORDER BY productCategory, sta
 SELECT marketplace, productCategory, star_rating, avg(length(review_body)) AS avg_review_length
 FROM reviews GROUP BY marketplace, productCategory, star_rating
 ORDER BY marketplace, productCategory, star_rating DESC""",
-        "common_customer_pairs": f"""{w}, {_PAIRS}
-SELECT customer_id_books, product_id_books, customer_id_music, product_id_music FROM pairs""",
-        "qualified_common_customers": f"""{w}, {_PAIRS}
-SELECT customer_id_books,
-       count(DISTINCT product_id_books) AS num_books_products,
-       count(DISTINCT product_id_music) AS num_music_products
-FROM pairs GROUP BY customer_id_books
-HAVING count(DISTINCT product_id_books) > 4 AND count(DISTINCT product_id_music) > 5""",
+        "common_customer_pairs": pairs,
+        "qualified_common_customers": qualified,
         "customer_purchases": f"""{w}, {_PURCHASES}
 SELECT customer_id, product_id FROM purchases""",
         "neighbour_edges": f"""{w}, {_EDGES}
@@ -347,9 +496,12 @@ SELECT customer_id, product_id, neighbour_customer_id, neighbour_product_id FROM
         "neighbour_lists": f"""{w}, {_EDGES}
 SELECT customer_id, list(neighbour_customer_id ORDER BY neighbour_customer_id) AS neighbouring_user_ids
 FROM edges GROUP BY customer_id""",
-        "neighbour_pairs": f"""{w}, {_EDGES}
-SELECT customer_id, neighbour_customer_id, count(*) AS n_shared
-FROM edges GROUP BY customer_id, neighbour_customer_id""",
+        "neighbour_pairs": shared,
+        "neighbour_list_blocks": _list_blocks_sql(),
+        "user_triple_digests_as_written": _triple_digests_sql(False),
+        "user_triple_digests_documented": _triple_digests_sql(True),
+        "user_triple_slice_as_written": _triple_slice_sql(False),
+        "user_triple_slice_documented": _triple_slice_sql(True),
         "user_triple_counts_as_written": _triple_counts_sql(False),
         "user_triple_counts_documented": _triple_counts_sql(True),
         "build_training_set": _triple_counts_sql(True),

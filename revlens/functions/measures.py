@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.sources.schemas import BODY_LENGTH_COL
+
 
 def share_percent(value: str, partition_by: Sequence[str]) -> Column:
     """``value`` as a percent of its total inside each ``partition_by`` group.
@@ -38,6 +40,9 @@ def helpful_percent() -> Column:
     return F.try_divide(F.sum("helpful_votes"), F.sum("total_votes")) * 100
 
 
-def review_length() -> Column:
-    """Character length of the review body (code points; NULL body stays NULL)."""
-    return F.length("review_body")
+def review_length(reviews: DataFrame) -> Column:
+    """Character length of the review body (code points; NULL body stays NULL).
+
+    A frame that brings the length as a column of its own needs no body.
+    """
+    return F.col(BODY_LENGTH_COL) if BODY_LENGTH_COL in reviews.columns else F.length("review_body")

@@ -8,28 +8,33 @@ columns. NULL customers never match (equi joins); a NULL product is kept by
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.operators.blockjoin import HOT_ROWS, grid_join, hot_keys
 
-def _distinct_purchases(reviews: DataFrame, suffix: str = "") -> DataFrame:
-    return reviews.select(
-        F.col("customer_id").alias("customer_id" + suffix),
-        F.col("product_id").alias("product_id" + suffix),
-    ).distinct()
 
+def _distinct_purchases(reviews: DataFrame) -> DataFrame:
+    return reviews.select("customer_id", "product_id").distinct()
 
-def common_customer_pairs(books: DataFrame, music: DataFrame) -> DataFrame:
+
+def common_customer_pairs(books: DataFrame, music: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
     """Q12: one row per (book, music) pair of a customer found in both.
 
     Distinct (customer, product) per side, then an inner equi join on the
     customer. The output is the per-customer product grid by definition; a
-    customer with many products on both sides is a skewed join key, which
-    adaptive execution splits across tasks (``skewJoin``) instead of one task.
+    customer of more than ``hot`` products on a side is dealt to a grid of tasks
+    by hashes of its products (``blockjoin``).
     """
-    b = _distinct_purchases(books, "_books")
-    m = _distinct_purchases(music, "_music")
-    return b.join(m, b.customer_id_books == m.customer_id_music, "inner")
+    b, m = _distinct_purchases(books), _distinct_purchases(music)
+    return grid_join(b, m, "customer_id", "product_id", "product_id", hot).select(
+        F.col("l_customer_id").alias("customer_id_books"),
+        F.col("l_product_id").alias("product_id_books"),
+        F.col("r_customer_id").alias("customer_id_music"),
+        F.col("r_product_id").alias("product_id_music"),
+    )
 
 
 def _num_products(reviews: DataFrame, name: str) -> DataFrame:
@@ -116,3 +121,89 @@ def customer_purchases_from_pairs(pairs: DataFrame) -> DataFrame:
         F.col("customer_id_music").alias("customer_id"), F.col("product_id_music").alias("product_id")
     ).distinct()
     return books_half.union(music_half)
+
+
+#: Products in one block of a customer's side of the factorised grid.
+GRID_BLOCK = 1024
+
+
+def _side_blocks(rows: DataFrame, size: int) -> DataFrame:
+    """(customer_id, block, n_rows, n_products, products) of one side's distinct purchases.
+
+    A customer's products lie in blocks of about ``size`` by hash; only customers
+    with more than ``size`` of them have several. A NULL product is a row without
+    a product.
+    """
+    many = hot_keys(rows, "customer_id", size).select("customer_id", F.ceil(F.col("_rows") / size).cast("int").alias("_g"))
+    dealt = rows.where(F.col("customer_id").isNotNull()).join(F.broadcast(many), "customer_id", "left")
+    block = F.pmod(F.xxhash64("product_id"), F.coalesce("_g", F.lit(1))).cast("int")
+    return dealt.groupBy("customer_id", block.alias("block")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("product_id").alias("n_products"),
+        F.collect_list(F.struct("product_id")).alias("products"),
+    )
+
+
+@dataclass
+class FactorisedPairs:
+    """Q12's pairs as (customer, book block, music block): two tables of blocks, multiplied out on request only.
+
+    A common customer's pairs are its distinct books times its distinct music.
+    ``books`` and ``music`` hold each side's distinct purchases in blocks
+    (customer_id, block, n_rows, n_products, products), of common customers
+    only. Counts, distinct counts and projections are taken from the blocks, so
+    they are linear in the purchases; only :meth:`expand` makes the grid.
+    """
+
+    books: DataFrame
+    music: DataFrame
+
+    @staticmethod
+    def of(books: DataFrame, music: DataFrame, size: int = GRID_BLOCK) -> "FactorisedPairs":
+        b, m = _distinct_purchases(books), _distinct_purchases(music)
+        own = salted_join(b, music.select("customer_id").distinct(), "customer_id", "product_id", "left_semi")
+        other = salted_join(m, books.select("customer_id").distinct(), "customer_id", "product_id", "left_semi")
+        return FactorisedPairs(_side_blocks(own, size), _side_blocks(other, size))
+
+    def _sums(self, value: str, books: str, music: str) -> DataFrame:
+        b = self.books.groupBy("customer_id").agg(F.sum(value).alias(books))
+        m = self.music.groupBy("customer_id").agg(F.sum(value).alias(music))
+        return b.join(m, "customer_id")
+
+    def counts(self) -> DataFrame:
+        """Pairs of each customer: rows of one side times rows of the other."""
+        sums = self._sums("n_rows", "_b", "_m")
+        return sums.select("customer_id", (F.col("_b") * F.col("_m")).alias("n_pairs"))
+
+    def qualified(self, more_than_books: int = 4, more_than_music: int = 5) -> DataFrame:
+        """Q13: distinct products per side, which the grid repeats but does not add to."""
+        sums = self._sums("n_products", "num_books_products", "num_music_products")
+        enough = (F.col("num_books_products") > int(more_than_books)) & (F.col("num_music_products") > int(more_than_music))
+        return sums.where(enough).select(F.col("customer_id").alias("customer_id_books"), "num_books_products", "num_music_products")
+
+    def project(self, side: str) -> DataFrame:
+        """Distinct (customer_id, product_id) of the pairs' ``books`` or ``music`` half."""
+        blocks = {"books": self.books, "music": self.music}[side]
+        return blocks.select("customer_id", F.inline("products"))
+
+    def purchases(self) -> DataFrame:
+        """Q14: both projections, duplicates between them kept."""
+        return self.project("books").union(self.project("music"))
+
+    def blocks(self) -> DataFrame:
+        """The relation itself: one row per (customer, book block, music block) with both products' arrays."""
+        b = self.books.select("customer_id", F.col("block").alias("book_block"), F.col("products").alias("books"))
+        m = self.music.select("customer_id", F.col("block").alias("music_block"), F.col("products").alias("music"))
+        met = grid_join(b, m, "customer_id", "book_block", "music_block", hot=64)
+        return met.select(F.col("l_customer_id").alias("customer_id"), F.col("l_book_block").alias("book_block"), F.col("r_music_block").alias("music_block"), F.col("l_books").alias("books"), F.col("r_music").alias("music"))
+
+    def expand(self) -> DataFrame:
+        """Q12: the grid, each block pair multiplied out where it lies."""
+        rows = self.blocks().select("customer_id", F.explode("books").alias("book"), "music")
+        rows = rows.select("customer_id", "book", F.explode("music").alias("tune"))
+        return rows.select(
+            F.col("customer_id").alias("customer_id_books"),
+            F.col("book.product_id").alias("product_id_books"),
+            F.col("customer_id").alias("customer_id_music"),
+            F.col("tune.product_id").alias("product_id_music"),
+        )

@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.operators.blockjoin import HOT_ROWS, grid_self_join, hot_keys
+from revlens.operators.prefix import running_totals
+from revlens.sources.handoff import Workspace
 
-def neighbour_edges(purchases: DataFrame) -> DataFrame:
+
+def neighbour_edges(purchases: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
     """Q15: every (customer, neighbour) pair that shares a product.
 
     A self equi join on the product with the residual ``customer !=
     neighbour``. NULL products never match. The output is the one-mode
     projection of the customer-product graph, so a product bought by k
-    customers yields k*(k-1) rows; adaptive skew handling splits such a
-    product's partition over several tasks.
+    customers yields k*(k-1) rows. A product of more than ``hot`` purchases is
+    dealt to a grid of tasks by hashes of its customers (``blockjoin``), from one
+    shuffle that both sides read.
     """
-    # Both sides are the same plan under two aliases and are renamed only after
-    # the join, so the purchases are shuffled by product once and the second
-    # side reads that exchange again.
-    a = purchases.select("customer_id", "product_id").alias("a")
-    b = purchases.select("customer_id", "product_id").alias("b")
-    cond = (F.col("a.product_id") == F.col("b.product_id")) & (F.col("a.customer_id") != F.col("b.customer_id"))
-    return a.join(b, cond, "inner").select(
-        F.col("a.customer_id").alias("customer_id"),
-        F.col("a.product_id").alias("product_id"),
-        F.col("b.customer_id").alias("neighbour_customer_id"),
-        F.col("b.product_id").alias("neighbour_product_id"),
+    rows = purchases.select("customer_id", "product_id")
+    other = F.col("l_customer_id") != F.col("r_customer_id")
+    return grid_self_join(rows, "product_id", "customer_id", hot, residual=other).select(
+        F.col("l_customer_id").alias("customer_id"),
+        F.col("l_product_id").alias("product_id"),
+        F.col("r_customer_id").alias("neighbour_customer_id"),
+        F.col("r_product_id").alias("neighbour_product_id"),
     )
 
 
@@ -51,3 +52,76 @@ def neighbour_pairs(edges: DataFrame) -> DataFrame:
     rows and tasks instead of one array. Aggregated partially on the map side.
     """
     return edges.groupBy("customer_id", "neighbour_customer_id").agg(F.count(F.lit(1)).alias("n_shared"))
+
+
+#: Blocks of customers on either side of the shared-product matrix, and customers in one array.
+BLOCKS, ARRAY = 32, 2048
+
+
+def shared_product_counts(purchases: DataFrame, blocks: int = BLOCKS, heavy: int | None = None) -> DataFrame:
+    """:func:`neighbour_pairs` of :func:`neighbour_edges`, without shuffling a bestseller's pairs.
+
+    The pairs are the customer-by-customer product of the purchase matrix with
+    itself. Customers fall into ``blocks`` blocks by hash, so the product is a
+    matrix of ``blocks`` x ``blocks`` cells. A heavy product, one of more than
+    ``heavy`` purchases (16 a block by default), sends each cell the arrays of its
+    buyers in the cell's two blocks: k buyers travel as 2 x k x ``blocks`` ids, not
+    as k x k pairs. The other products' pairs are joined and sent to the cell they
+    belong to. Each cell then multiplies its arrays out and sums all its pairs
+    where they are, with no further shuffle. Arrays hold about ``ARRAY`` ids
+    whatever the product's buyers.
+    """
+    heavy = 16 * blocks if heavy is None else heavy
+    rows = purchases.select("customer_id", "product_id").where(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())
+    many = hot_keys(rows, "product_id", heavy).select("product_id", F.ceil(F.col("_rows") / (blocks * ARRAY)).cast("int").alias("_g"))
+    block = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(blocks)).cast("int")
+
+    light = neighbour_edges(rows.join(F.broadcast(many), "product_id", "left_anti")).select(
+        block("customer_id").alias("_bi"), block("neighbour_customer_id").alias("_bj"),
+        F.array("customer_id").alias("_left"), F.array("neighbour_customer_id").alias("_right"),
+    )
+    dealt = rows.join(F.broadcast(many), "product_id").select(
+        "product_id", "customer_id", block("customer_id").alias("_b"),
+        F.pmod(F.xxhash64(F.col("customer_id"), F.lit(1)), F.col("_g")).cast("int").alias("_sub"),
+    )
+    members = dealt.groupBy("product_id", "_b", "_sub").agg(F.collect_list("customer_id").alias("_ids"))
+    members = members.withColumn("_at", F.concat_ws("-", "_b", "_sub"))
+    cells = grid_self_join(members, "product_id", "_at", 4 * blocks).select(
+        F.col("l__b").alias("_bi"), F.col("r__b").alias("_bj"), F.col("l__ids").alias("_left"), F.col("r__ids").alias("_right")
+    )
+    met = light.unionByName(cells).repartition("_bi", "_bj")
+    met = met.select("_bi", "_bj", F.explode("_left").alias("customer_id"), "_right")
+    met = met.select("_bi", "_bj", "customer_id", F.explode("_right").alias("neighbour_customer_id"))
+    met = met.where(F.col("customer_id") != F.col("neighbour_customer_id"))
+    counted = met.groupBy("_bi", "_bj", "customer_id", "neighbour_customer_id").agg(F.count(F.lit(1)).alias("n_shared"))
+    return counted.select("customer_id", "neighbour_customer_id", "n_shared")
+
+
+def neighbour_list_blocks(pairs: DataFrame, work: Workspace, size: int = 1024, partitions: int | None = None) -> DataFrame:
+    """Q16 in blocks: each customer's sorted list, cut every ``size`` elements.
+
+    One row per (customer, block): ``block_no`` from 0, ``first`` (the list
+    position of its first element) and ``neighbouring_user_ids``, at most ``size``
+    ids in code-point order, a neighbour once per shared product. Concatenated by
+    ``block_no`` they are the customer's sorted list. ``pairs`` is the long form
+    (:func:`neighbour_pairs`). A neighbour's position is the running total of the
+    ``n_shared`` before it (``prefix.running_totals``, whose stage ``work`` owns),
+    so no task and no row holds a whole customer.
+    """
+    rows = pairs.where(F.col("customer_id").isNotNull() & F.col("neighbour_customer_id").isNotNull())
+    at = running_totals(rows, ["customer_id"], ["neighbour_customer_id"], "n_shared", "position", work, partitions)
+    last = F.col("position") + F.col("n_shared") - 1
+    pieces = at.withColumn("block_no", F.explode(F.sequence(F.floor(F.col("position") / size), F.floor(last / size))))
+    begin = F.greatest(F.col("position"), F.col("block_no") * size)
+    n = F.least(last, F.col("block_no") * size + (size - 1)) - begin + 1
+    pieces = pieces.select("customer_id", "block_no", F.struct(begin.alias("at"), "neighbour_customer_id", n.cast("int").alias("n")).alias("piece"))
+    blocks = pieces.groupBy("customer_id", "block_no").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    ids = F.flatten(F.transform("pieces", lambda p: F.array_repeat(p["neighbour_customer_id"], p["n"])))
+    return blocks.select("customer_id", "block_no", (F.col("block_no") * size).alias("first"), ids.alias("neighbouring_user_ids"))
+
+
+def lists_from_blocks(blocks: DataFrame) -> DataFrame:
+    """:func:`neighbour_lists`, sorted, from their blocks: one array per customer again."""
+    joined = F.sort_array(F.collect_list(F.struct("block_no", "neighbouring_user_ids")))
+    ids = F.flatten(F.transform(joined, lambda b: b["neighbouring_user_ids"]))
+    return blocks.groupBy("customer_id").agg(ids.alias("neighbouring_user_ids"))

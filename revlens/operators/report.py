@@ -28,8 +28,8 @@ def review_summary(reviews: DataFrame) -> DataFrame:
         F.count("review_id").alias(N),
         F.sum("helpful_votes").alias("sum_helpful_votes"),
         F.sum("total_votes").alias("sum_total_votes"),
-        F.sum(review_length()).alias("sum_review_length"),
-        F.count(review_length()).alias("n_review_length"),
+        F.sum(review_length(reviews)).alias("sum_review_length"),
+        F.count(review_length(reviews)).alias("n_review_length"),
     )
 
 

@@ -111,7 +111,7 @@ def review_length_and_helpfulness(reviews: DataFrame) -> DataFrame:
     return (
         reviews.groupBy(CAT, "star_rating")
         .agg(
-            F.avg(review_length()).alias("avg_review_length"),
+            F.avg(review_length(reviews)).alias("avg_review_length"),
             F.round(helpful_percent(), 2).alias("helpful_percent"),
         )
         .orderBy(CAT, "star_rating")
@@ -122,6 +122,6 @@ def review_length_by_marketplace(reviews: DataFrame) -> DataFrame:
     """Q11: average body length per (marketplace, category, star)."""
     return (
         reviews.groupBy("marketplace", CAT, "star_rating")
-        .agg(F.avg(review_length()).alias("avg_review_length"))
+        .agg(F.avg(review_length(reviews)).alias("avg_review_length"))
         .orderBy("marketplace", CAT, F.desc("star_rating"))
     )

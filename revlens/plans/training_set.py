@@ -5,7 +5,9 @@ pairs; stage 2 reads the pairs and writes neighbour lists; stage 3 reads the
 lists and writes the triples. Each stage reads the previous stage's written
 output, which cuts the lineage: a lost executor or a failed later stage never
 recomputes an earlier one, and a failed stage stops the rest (the exception
-propagates). Row counts are observed during the writes, with no second job.
+propagates). Row counts are observed during the writes, with no second job, and
+kept in each folder's manifest together with its files; a stage refuses a source
+folder that does not hold what its manifest says, or whose write never ended.
 """
 
 from __future__ import annotations
@@ -13,8 +15,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from revlens.operators.customers import (
     common_customer_pairs,
@@ -22,7 +23,7 @@ from revlens.operators.customers import (
     customer_purchases_from_pairs,
     qualified_common_customers,
 )
-from revlens.operators.neighbours import neighbour_edges, neighbour_lists, neighbour_pairs
+from revlens.operators.neighbours import neighbour_edges, neighbour_lists, shared_product_counts
 from revlens.operators.triples import (
     user_triple_counts,
     user_triple_counts_from_pairs,
@@ -36,7 +37,7 @@ from revlens.sources.readers import (
     read_purchases,
     read_reviews,
 )
-from revlens.sources.sinks import write_parquet
+from revlens.sources.handoff import check_source, write_stage
 
 log = logging.getLogger(__name__)
 
@@ -60,10 +61,8 @@ class StageResult:
 
 
 def _write_counted(df: DataFrame, path: str, name: str, num_files: int | None, result: StageResult) -> None:
-    obs = Observation(name)
-    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, num_files)
+    result.rows[name] = write_stage(df, path, num_files).rows
     result.paths[name] = path
-    result.rows[name] = int(obs.get["rows"])
     log.info("%s: %d rows written to %s", name, result.rows[name], path)
 
 
@@ -126,16 +125,18 @@ def stage_neighbours(
         raise ValueError(f"list_format must be one of {LIST_FORMATS}")
     if staged not in STAGED_FORMATS:
         raise ValueError(f"staged must be one of {STAGED_FORMATS}")
+    check_source(spark, pairs_path)
     if staged == "grid":
         purchases = customer_purchases_from_pairs(read_pairs(spark, pairs_path))
     else:
         purchases = read_purchases(spark, pairs_path)
-    edges = neighbour_edges(purchases)
     result = StageResult()
     if list_format == "lists":
-        _write_counted(neighbour_lists(edges), _join(out_dir, LISTS_DIR), "lists", lists_files, result)
+        lists = neighbour_lists(neighbour_edges(purchases))
+        _write_counted(lists, _join(out_dir, LISTS_DIR), "lists", lists_files, result)
     else:
-        _write_counted(neighbour_pairs(edges), _join(out_dir, NEIGHBOUR_PAIRS_DIR), "neighbour_pairs", lists_files, result)
+        pairs = shared_product_counts(purchases)
+        _write_counted(pairs, _join(out_dir, NEIGHBOUR_PAIRS_DIR), "neighbour_pairs", lists_files, result)
     return result
 
 
@@ -159,6 +160,7 @@ def stage_triples(
     """
     if list_format not in LIST_FORMATS:
         raise ValueError(f"list_format must be one of {LIST_FORMATS}")
+    check_source(spark, lists_path)
     if list_format == "lists":
         source = read_neighbour_lists(spark, lists_path)
         expanded, counted = user_triples, user_triple_counts

@@ -1,7 +1,7 @@
 """Review view over the TPC-H-like driver tables.
 
-Every ``lineitem`` row plays one review. Parts of type ECONOMY or STANDARD are
-Books, PROMO or SMALL are Music, the rest is dropped. Lookups that only add
+A ``lineitem`` row plays one review if its part is of type ECONOMY or STANDARD
+(Books), or PROMO or SMALL (Music); the rest, a third, is dropped. Lookups that only add
 columns (order -> customer -> nation -> region, document text) are LEFT joins
 on key columns (unique in the driver tables), so they neither drop nor
 duplicate reviews; they are planned only when a caller asks for the columns
@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.sources.schemas import BOOKS, CATEGORY_COL, MUSIC, REVIEW_SCHEMA
+from revlens.sources.schemas import BODY_LENGTH_COL, BOOKS, CATEGORY_COL, MUSIC, REVIEW_SCHEMA
 
 # Part types that make up each category.
 BOOK_TYPES = ("ECONOMY", "STANDARD")
@@ -24,7 +24,7 @@ MUSIC_TYPES = ("PROMO", "SMALL")
 REVIEW_COLUMNS = tuple(f.name for f in REVIEW_SCHEMA.fields) + (CATEGORY_COL,)
 _NEEDS_CUSTOMER_DIM = {"marketplace"}
 _NEEDS_ORDERS = {"customer_id", "marketplace"}
-_NEEDS_DOCUMENTS = {"review_body"}
+_NEEDS_DOCUMENTS = {"review_body", BODY_LENGTH_COL}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +35,12 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
     """Unified review frame (15 review columns + ``productCategory``).
 
     ``columns`` names the columns the caller uses; the others come back as
-    typed NULLs and their lookup joins are left out of the plan.
+    typed NULLs and their lookup joins are left out of the plan. The body's
+    length comes as one column more where it is named: it is taken before the
+    documents are joined, so no text crosses a join for it.
     """
     wanted = set(REVIEW_COLUMNS if columns is None else columns) | {CATEGORY_COL}
-    unknown = wanted - set(REVIEW_COLUMNS)
+    unknown = wanted - set(REVIEW_COLUMNS) - {BODY_LENGTH_COL}
     if unknown:
         raise ValueError(f"unknown review columns: {sorted(unknown)}")
 
@@ -90,9 +92,11 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
         # subquery. Spark picks the join by size.
         documents = _table(spark, sf_dir, "documents")
         n_documents = documents.select(F.count(F.lit(1))).scalar()
-        docs = documents.select("doc_id", "text")
+        asked = {"review_body": F.col("text"), BODY_LENGTH_COL: F.length("text").alias("_length")}
+        docs = documents.select("doc_id", *(c for name, c in asked.items() if name in wanted))
         rev = rev.join(docs, ((rev.l_orderkey + rev.l_linenumber) % n_documents) == docs.doc_id, "left")
-        body = F.col("text")
+        if "review_body" in wanted:
+            body = F.col("text")
 
     quantity = F.col("l_quantity").cast("int")
     title = F.col("p_name")
@@ -119,4 +123,6 @@ def driver_reviews(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
         name = CATEGORY_COL if field is None else field.name
         expr = exprs[name] if name in wanted else F.lit(None).cast(field.dataType)
         out.append(expr.alias(name))
+    if BODY_LENGTH_COL in wanted:
+        out.append(F.col("_length").alias(BODY_LENGTH_COL))
     return rev.select(*out)

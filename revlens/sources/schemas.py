@@ -32,6 +32,9 @@ REVIEW_SCHEMA = StructType(
     ]
 )
 
+# Optional column of a review frame: the code points of the body, where only they are asked for.
+BODY_LENGTH_COL = "review_body_length"
+
 # Name of the constant column that tags each review with its category.
 CATEGORY_COL = "productCategory"
 # Name of the hive partition column in a category-partitioned review root.
@@ -40,6 +43,7 @@ PARTITION_COL = "product_category"
 BOOKS = "Books"
 MUSIC = "Music"
 
+# Fixed values, as are the other hand-off schemas below.
 # Staged common-customer pairs handed from stage 1 to stage 2.
 PAIR_SCHEMA = StructType(
     [
