@@ -2,9 +2,9 @@
 
 Texts have A-Z lower-cased; their tokens are words and one end. The lowest
 level is the contract's base: (c + 1) / (N + V + 1) with one share for all
-unseen words, so it sums to 1. Above it stand all bigrams of words that occur
-twice or more, whatever the corpus, and of the start and the end; they are
-counted without a limit, in tables that are partitioned by a hash of the key.
+unseen words, so it sums to 1. Above it stand all bigrams of the training texts,
+whatever their words' counts, with the start and the end; they are counted
+without a limit, in tables that are partitioned by a hash of the key.
 
 The most frequent repeated words, at most ``SHARE``, are listed: what is known of them is broadcast, and bigrams of two listed words go
 by their numbers. Bigrams with another word go by their words' hashes, and
@@ -21,6 +21,9 @@ bigrams goes straight to the lowest level.
 Nothing is sent token by token. Tasks gather the distinct keys of many texts
 with the texts they stand in, in binary columns; a partition meets the counts
 of its keys, and sends on one partial sum for each text, in binary columns again.
+There are several partitions for each of the session's, and a row of a table
+holds at most ``ROW_KEYS`` keys, so that a task's memory stays a small part of
+what the session deals to one partition.
 
 Words are known by the 64-bit hash of their bytes.
 
@@ -47,6 +50,8 @@ SHARE = 1_000_000
 K = 5
 #: Tokens that a task gathers before it sends them on.
 GATHER = 1 << 21
+#: Keys in one row of a table, and partitions for each shuffle partition of the session.
+ROW_KEYS, FINER = 1 << 16, 4
 _MOST = 1 << 16  # counts from here on are one when the list is chosen
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token's hash
 START = np.uint64(0x14057B7EF767814F)  # and for that of the start, which is a history only
@@ -60,7 +65,7 @@ MODEL_WORDS, MODEL_PAIRS, MODEL_RARE, MODEL_ALPHA, WORDS, PAIRS, RARE, TEXTS = r
 
 
 def _parts(spark) -> int:
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    return FINER * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _own(docs: DataFrame, keep) -> DataFrame:
@@ -114,7 +119,15 @@ def _packed(keys: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.diff(keys, prepend=keys.dtype.type(0)).view(np.uint8).reshape(-1, 8).T)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
+def _each(batches):
+    """The rows of Arrow batches one by one; binary columns as buffers, without a copy."""
+    for batch in batches:
+        columns = [(f.name, c, pa.types.is_binary(f.type)) for f, c in zip(batch.schema, batch.columns, strict=True)]
+        for k in range(batch.num_rows):
+            yield {name: (c[k].as_buffer() if binary else c[k].as_py()) for name, c, binary in columns}
+
+
+def _unpacked(data) -> np.ndarray:
     steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
     return np.cumsum(steps, dtype=np.uint64)
 
@@ -162,19 +175,23 @@ def _keys(row: dict) -> np.ndarray:
 
 
 def _merge(batches):
-    """One row for a partition and kind: all its keys with their sums."""
+    """A partition's keys with their sums, sorted, in rows of one kind and at most ``ROW_KEYS`` keys."""
     held: dict[int, tuple[list, list]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            keys, counts = held.setdefault(row["kind"], ([], []))
-            keys.append(_keys(row))
-            counts.append(np.frombuffer(row["counts"], np.uint32))
-            if sum(map(len, keys)) > 4 * GATHER and len(keys) > 1:
-                k, c = _counted(np.concatenate(keys), np.concatenate(counts))
-                keys[:], counts[:] = [k], [c]
+    for row in _each(batches):
+        keys, counts = held.setdefault(row["kind"], ([], []))
+        keys.append(_keys(row))
+        counts.append(np.frombuffer(row["counts"], np.uint32))
+        if sum(map(len, keys)) > 4 * GATHER and len(keys) > 1:
+            k, c = _counted(np.concatenate(keys), np.concatenate(counts))
+            keys[:], counts[:] = [k], [c]
     for kind, (keys, counts) in held.items():
         k, c = _counted(np.concatenate(keys), np.concatenate(counts))
-        yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([_packed(k).tobytes()], pa.binary()), pa.array([c.astype(np.int64).tobytes()], pa.binary()), pa.array([int(c.sum())], pa.int64()), pa.array([len(k)], pa.int64())], ["kind", "keys", "counts", "total", "distinct"])
+        keys.clear()
+        counts.clear()
+        for at in range(0, len(k), ROW_KEYS):
+            own, n = k[at : at + ROW_KEYS], c[at : at + ROW_KEYS].astype(np.int64)
+            row = [pa.array([kind], pa.int32()), pa.array([_packed(own).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary()), pa.array([int(n.sum())], pa.int64()), pa.array([len(own)], pa.int64())]
+            yield pa.RecordBatch.from_arrays(row, ["kind", "keys", "counts", "total", "distinct"])
 
 
 _TABLE = "kind int, keys binary, counts binary, total long, distinct long"
@@ -248,12 +265,13 @@ _RESOLVED = "listed boolean, keys binary, counts binary, own binary, before bina
 
 
 def _resolved(words: DataFrame, pairs: DataFrame, parts: int, shared_list) -> DataFrame:
-    """Bigrams with a word outside the list whose words both occur twice or more, with both words' counts.
+    """Bigrams with a word outside the list, with both words' counts.
 
     A bigram goes to its word's partition for that word's count and on to its
     history's. Words outside the list are rare, so none has many bigrams; a
     bigram of a listed history has the count there already and is spread by both words.
-    A history outside the list has all its bigrams in one row.
+    A history outside the list has all its bigrams in one row; rows are cut
+    between histories, at about ``ROW_KEYS`` bigrams.
     """
 
     def to_history(keys, counts, own):
@@ -266,55 +284,49 @@ def _resolved(words: DataFrame, pairs: DataFrame, parts: int, shared_list) -> Da
 
     def ask(batches):
         vocabulary, _ = shared_list.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, counts = _keys(row), np.frombuffer(row["counts"], np.int64)
-                rare = np.flatnonzero(_numbers(keys[:, 1], vocabulary) < 0)
-                keys, counts = keys[rare], counts[rare]
-                out = [(r, MODEL_RARE, keys[at], counts[at].astype(np.uint32), _NONE, _NONE) for r, at in enumerate(_split(keys[:, 1], parts)) if len(at)]
-                if out:
-                    yield _rows(out)
+        for row in _each(batches):
+            keys, counts = _keys(row), np.frombuffer(row["counts"], np.int64)
+            rare = np.flatnonzero(_numbers(keys[:, 1], vocabulary) < 0)
+            keys, counts = keys[rare], counts[rare]
+            out = [(r, MODEL_RARE, keys[at], counts[at].astype(np.uint32), _NONE, _NONE) for r, at in enumerate(_split(keys[:, 1], parts)) if len(at)]
+            if out:
+                yield _rows(out)
 
     def listed_word(batches):
         vocabulary, count = shared_list.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, counts = _keys(row), np.frombuffer(row["counts"], np.int64)
-                number = _numbers(keys[:, 1], vocabulary)
-                use = number >= 0
-                if use.any():
-                    yield _rows(list(to_history(keys[use], counts[use], count[number[use]])))
-
-    def repeated(batches):
-        """Counts of words outside the list that occur twice or more."""
+        for row in _each(batches):
+            keys, counts = _keys(row), np.frombuffer(row["counts"], np.int64)
+            number = _numbers(keys[:, 1], vocabulary)
+            use = number >= 0
+            if use.any():
+                yield _rows(list(to_history(keys[use], counts[use], count[number[use]])))
+
+    def unlisted(batches):
+        """Counts of words outside the list."""
         vocabulary, _ = shared_list.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, counts = _keys(row), np.frombuffer(row["counts"], np.int64)
-                use = (counts >= 2) & (_numbers(keys, vocabulary) < 0)
-                out = [(r, MODEL_WORDS, keys[use][at], counts[use][at], _NONE, _NONE) for r, at in enumerate(_split(keys[use], parts)) if len(at)]
-                if out:
-                    yield _rows(out)
+        for row in _each(batches):
+            keys, counts = _keys(row), np.frombuffer(row["counts"], np.int64)
+            use = _numbers(keys, vocabulary) < 0
+            out = [(r, MODEL_WORDS, keys[use][at], counts[use][at], _NONE, _NONE) for r, at in enumerate(_split(keys[use], parts)) if len(at)]
+            if out:
+                yield _rows(out)
 
     def gathered(batches):
         known, asked = [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["kind"] == MODEL_WORDS:
-                    known.append((_keys(row), np.frombuffer(row["counts"], np.int64)))
-                else:
-                    counts = np.frombuffer(row["counts"], np.uint32)
-                    own = np.frombuffer(row["texts"], np.uint32 if len(row["texts"]) == 4 * len(counts) else np.int64)
-                    asked.append((_keys(row), counts, own))
+        for row in _each(batches):
+            if row["kind"] == MODEL_WORDS:
+                known.append((_keys(row), np.frombuffer(row["counts"], np.int64)))
+            else:
+                counts = np.frombuffer(row["counts"], np.uint32)
+                own = np.frombuffer(row["texts"], np.uint32 if len(row["texts"]) == 4 * len(counts) else np.int64)
+                asked.append((_keys(row), counts, own))
         return _sorted_table(known, np.int64), asked
 
     def by_word(batches):
         (words, count), asked = gathered(batches)
         for keys, counts, _ in asked:
             own = _found(words, count, keys[:, 1])
-            use = own >= 2
-            if use.any():
-                yield _rows(list(to_history(keys[use], counts[use], own[use])))
+            yield _rows(list(to_history(keys, counts, own)))
 
     def by_history(batches):
         vocabulary, _ = shared_list.value
@@ -324,14 +336,23 @@ def _resolved(words: DataFrame, pairs: DataFrame, parts: int, shared_list) -> Da
         keys, counts, own = (np.concatenate([a[k] for a in asked]) for k in range(3))
         listed = _history_numbers(keys[:, 0], vocabulary) >= 0
         before = _found(words, count, keys[:, 0])
-        for use, flag in ((listed, True), (~listed & (before >= 2), False)):
-            if use.any():
+        for use, flag in ((listed, True), (~listed, False)):
+            own_keys = keys[use]
+            order = np.argsort(own_keys[:, 0], kind="stable")
+            columns = [x[use][order].astype(t) for x, t in ((keys, np.uint64), (counts, np.int64), (own, np.int64), (before, np.int64))]
+            name = columns[0][:, 0]
+            at = 0
+            while at < len(name):
+                end = min(at + ROW_KEYS, len(name))
+                if not flag:  # the rest of the last history too
+                    end = int(np.searchsorted(name, name[end - 1], side="right"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([flag]), *(pa.array([x[use].astype(t).tobytes()], pa.binary()) for x, t in ((keys, np.uint64), (counts, np.int64), (own, np.int64), (before, np.int64)))],
-                    ["listed", "keys", "counts", "own", "before"])
+                    [pa.array([flag]), *(pa.array([x[at:end].tobytes()], pa.binary()) for x in columns)], ["listed", "keys", "counts", "own", "before"]
+                )
+                at = end
 
     rare = pairs.where(F.col("kind") == MODEL_RARE).select("kind", "keys", "counts")
-    counted = words.select("kind", "keys", "counts").mapInArrow(repeated, _SCHEMA)
+    counted = words.select("kind", "keys", "counts").mapInArrow(unlisted, _SCHEMA)
     first = rare.mapInArrow(ask, _SCHEMA).unionByName(counted).repartition(parts, "r").mapInArrow(by_word, _SCHEMA)
     second = first.unionByName(rare.mapInArrow(listed_word, _SCHEMA)).unionByName(counted)
     return stored(second.repartition(parts, "r").mapInArrow(by_history, _RESOLVED), "katz-rare")
@@ -346,27 +367,26 @@ def _gains(resolved: DataFrame, n: int, v: int, parts: int, shared) -> DataFrame
 
     def run(batches):
         vocabulary, history, alpha, scale, d = shared.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, c, own, before = _of_resolved(row)
-                kept = np.where(c <= K, d[np.minimum(c, K)], 1.0) * c
-                low = (own + 1) / (n + v + 1)
-                out = []
-                if row["listed"]:
-                    h = _history_numbers(keys[:, 0], vocabulary)
-                    p, a = kept * scale[h] / history[h], alpha[h]
-                else:
-                    name, first, back = np.unique(keys[:, 0], return_index=True, return_inverse=True)
-                    of = before[first].astype(float)
-                    share, most = np.bincount(back, kept, len(name)) / of, 1 - 1 / (of + 1)
-                    by = np.where(share > most, most / np.maximum(share, 1e-300), 1.0)
-                    own_alpha = np.log10((1 - share * by) / np.maximum(1 - np.bincount(back, low, len(name)), 1e-12))
-                    p, a = kept * by[back] / of[back], own_alpha[back]
-                    out += [(r, MODEL_ALPHA, name[at], own_alpha[at], _NONE, _NONE) for r, at in enumerate(_split(name, parts)) if len(at)]
-                key, gain = _both(keys), np.log10(np.maximum(p, 1e-300)) - a - np.log10(low)
-                order = np.argsort(key)
-                key, gain = key[order], gain[order]
-                yield _rows(out + [(r, MODEL_RARE, key[at], gain[at], _NONE, _NONE) for r, at in enumerate(_split(key, parts)) if len(at)])
+        for row in _each(batches):
+            keys, c, own, before = _of_resolved(row)
+            kept = np.where(c <= K, d[np.minimum(c, K)], 1.0) * c
+            low = (own + 1) / (n + v + 1)
+            out = []
+            if row["listed"]:
+                h = _history_numbers(keys[:, 0], vocabulary)
+                p, a = kept * scale[h] / history[h], alpha[h]
+            else:
+                name, first, back = np.unique(keys[:, 0], return_index=True, return_inverse=True)
+                of = before[first].astype(float)
+                share, most = np.bincount(back, kept, len(name)) / of, 1 - 1 / (of + 1)
+                by = np.where(share > most, most / np.maximum(share, 1e-300), 1.0)
+                own_alpha = np.log10((1 - share * by) / np.maximum(1 - np.bincount(back, low, len(name)), 1e-12))
+                p, a = kept * by[back] / of[back], own_alpha[back]
+                out += [(r, MODEL_ALPHA, name[at], own_alpha[at], _NONE, _NONE) for r, at in enumerate(_split(name, parts)) if len(at)]
+            key, gain = _both(keys), np.log10(np.maximum(p, 1e-300)) - a - np.log10(low)
+            order = np.argsort(key)
+            key, gain = key[order], gain[order]
+            yield _rows(out + [(r, MODEL_RARE, key[at], gain[at], _NONE, _NONE) for r, at in enumerate(_split(key, parts)) if len(at)])
 
     return resolved.mapInArrow(run, _SCHEMA)
 
@@ -398,7 +418,7 @@ def fit(docs: DataFrame, share: int = SHARE) -> Model:
 
     def how_often(batches):
         for batch in batches:
-            for counts in batch.column(0).to_pylist():
+            for counts in map(pa.BinaryScalar.as_buffer, batch.column(0)):
                 c, words_of = np.unique(np.minimum(np.frombuffer(counts, np.int64), _MOST), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(words_of)], ["count", "words"])
 
@@ -412,7 +432,7 @@ def fit(docs: DataFrame, share: int = SHARE) -> Model:
 
     def frequent(batches):
         for batch in batches:
-            for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for keys, counts in zip(map(pa.BinaryScalar.as_buffer, batch.column(0)), map(pa.BinaryScalar.as_buffer, batch.column(1)), strict=True):
                 k, c = _unpacked(keys), np.frombuffer(counts, np.int64)
                 use = (c >= least) | (k == END)
                 yield pa.RecordBatch.from_arrays([pa.array(k[use].view(np.int64)), pa.array(c[use])], ["word", "count"])
@@ -432,7 +452,7 @@ def fit(docs: DataFrame, share: int = SHARE) -> Model:
         return {MODEL_PAIRS: _key(before[both], own[both]), MODEL_RARE: _rare_pairs(h, row, own, before)[0]}
 
     run = _send_counts(parts, keys_of)
-    every = stored(train.mapInArrow(run, _SCHEMA).repartition(parts, "r").mapInArrow(_merge, _TABLE), "katz-pairs")
+    every = stored(train.mapInArrow(run, _SCHEMA).repartition(parts, "r").mapInArrow(_merge, _TABLE), "katz-pairs", by="kind")
     pairs = every.where(F.col("kind") == MODEL_PAIRS)
     resolved = _resolved(words, every, parts, spark.sparkContext.broadcast((vocabulary, count)))
     lowest = (count + 1) / (n + v + 1)
@@ -443,7 +463,7 @@ def fit(docs: DataFrame, share: int = SHARE) -> Model:
         """Per history: bigrams of each count up to K + 1, tokens of those above K, lowest level of the seen words."""
         low = shared_lowest.value
         for batch in batches:
-            for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for keys, counts in zip(map(pa.BinaryScalar.as_buffer, batch.column(0)), map(pa.BinaryScalar.as_buffer, batch.column(1)), strict=True):
                 k, c = _unpacked(keys), np.frombuffer(counts, np.int64)
                 h, back = np.unique((k >> np.uint64(32)).astype(np.int64), return_inverse=True)
                 w = (k & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -454,13 +474,12 @@ def fit(docs: DataFrame, share: int = SHARE) -> Model:
     def rare_histories(batches):
         """The same of bigrams with a word outside the list; -1 stands for all histories outside it."""
         vocabulary = shared_words.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, c, own, _ = _of_resolved(row)
-                h, back = np.unique(_history_numbers(keys[:, 0], vocabulary), return_inverse=True)
-                cols = [np.bincount(back, c == r, len(h)) for r in range(1, K + 2)]
-                cols += [np.bincount(back, np.where(c > K, c, 0), len(h)), np.bincount(back, (own + 1) / (n + v + 1), len(h))]
-                yield pa.RecordBatch.from_arrays([pa.array(h), *(pa.array(x.astype(float)) for x in cols)], stat)
+        for row in _each(batches):
+            keys, c, own, _ = _of_resolved(row)
+            h, back = np.unique(_history_numbers(keys[:, 0], vocabulary), return_inverse=True)
+            cols = [np.bincount(back, c == r, len(h)) for r in range(1, K + 2)]
+            cols += [np.bincount(back, np.where(c > K, c, 0), len(h)), np.bincount(back, (own + 1) / (n + v + 1), len(h))]
+            yield pa.RecordBatch.from_arrays([pa.array(h), *(pa.array(x.astype(float)) for x in cols)], stat)
 
     schema = "h long, " + ", ".join(f"{x} double" for x in stat[1:])
     sums = pairs.select("keys", "counts").mapInArrow(histories, schema).unionByName(resolved.mapInArrow(rare_histories, schema))
@@ -553,15 +572,14 @@ def _score(model: Model):
         _, history, alpha, scale, d = shared.value
         known: dict[int, list] = {MODEL_WORDS: [], MODEL_PAIRS: [], MODEL_RARE: [], MODEL_ALPHA: []}
         sent: dict[int, list] = {WORDS: [], PAIRS: [], RARE: []}
-        for batch in batches:
-            for row in batch.to_pylist():
-                kind = row["kind"]
-                if kind in known:
-                    known[kind].append((_unpacked(row["keys"]), np.frombuffer(row["counts"], np.int64 if kind in (MODEL_WORDS, MODEL_PAIRS) else float)))
-                elif kind in sent:
-                    sent[kind].append(row)
-                else:  # what the sender knew of the texts passes through
-                    yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+        for row in _each(batches):
+            kind = row["kind"]
+            if kind in known:
+                known[kind].append((_unpacked(row["keys"]), np.frombuffer(row["counts"], np.int64 if kind in (MODEL_WORDS, MODEL_PAIRS) else float)))
+            elif kind in sent:
+                sent[kind].append(row)
+            else:  # what the sender knew of the texts passes through
+                yield pa.RecordBatch.from_pylist([{k: v if isinstance(v, int) else v.to_pybytes() for k, v in row.items()}], schema=_ARROW)
         sums, size = [], 0
         alpha_keys, alphas = _sorted_table(known[MODEL_ALPHA], float)
         for kind, source in ((WORDS, MODEL_WORDS), (PAIRS, MODEL_PAIRS), (RARE, MODEL_RARE)):
@@ -597,13 +615,12 @@ def _score(model: Model):
 def _total(batches):
     """One row for each text, from all its partial sums."""
     texts, sums = [], []
-    for batch in batches:
-        for row in batch.to_pylist():
-            uid, values = _unpacked(row["keys"]).view(np.int64), np.frombuffer(row["texts"], float)
-            if row["kind"] == TEXTS:
-                texts.append((uid, np.frombuffer(row["counts"], np.int64), values.reshape(-1, 5)))
-            else:
-                sums.append((uid, values.reshape(-1, 3)))
+    for row in _each(batches):
+        uid, values = _unpacked(row["keys"]).view(np.int64), np.frombuffer(row["texts"], float)
+        if row["kind"] == TEXTS:
+            texts.append((uid, np.frombuffer(row["counts"], np.int64), values.reshape(-1, 5)))
+        else:
+            sums.append((uid, values.reshape(-1, 3)))
     if not texts:
         return
     uid, ids, own = (np.concatenate([t[k] for t in texts]) for k in range(3))
@@ -625,10 +642,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     parts = model.parts
 
     def numbered(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, counts = _unpacked(row["keys"]), np.frombuffer(row["counts"], np.int64)
-                yield _rows([(r, row["kind"], keys[at], counts[at], _NONE, _NONE) for r, at in enumerate(_split(keys, parts)) if len(at)])
+        for row in _each(batches):
+            keys, counts = _unpacked(row["keys"]), np.frombuffer(row["counts"], np.int64)
+            yield _rows([(r, row["kind"], keys[at], counts[at], _NONE, _NONE) for r, at in enumerate(_split(keys, parts)) if len(at)])
 
     for tables in (model.words, model.pairs):
         sent = sent.unionByName(tables.select("kind", "keys", "counts").mapInArrow(numbered, _SCHEMA))

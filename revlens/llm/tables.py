@@ -24,12 +24,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/revlens-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` to a new shared folder and read it back: lineage ends here."""
+def stored(df: DataFrame, name: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
+    """Write ``df`` to a new shared folder and read it back: lineage ends here. ``by`` names a column with a folder for each value."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("compression", compression)
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def remainder(doc_id: str, modulus: int) -> Column:
