@@ -1,72 +1,117 @@
 """Benchmark decontamination with spaced seeds (operator 1). DataFrame functions only.
 
-Texts are lower-cased and split at everything but letters and digits. A seed
-is the hash of seven of twelve neighbouring tokens, chosen by a fixed mask; the
-other five positions are ignored, so a changed token there loses nothing. Four
-masks together hit all 16-token passages with up to two changed tokens and 98.2
-of 100 with three. Benchmark seeds are joined with the seeds of all documents,
-and each hit is verified on its twelve tokens: at least ten must agree. After
-that, 16-token passages are found in 100, 82.3 and 44.6 of 100 cases with two,
-three and four changed tokens, 15-token passages in 100, 70.5 and 26.5, and an
-item of just twelve tokens in 83.3 of 100 with one and 48.5 with two (all
-placements enumerated). An item shorter than twelve tokens is sought as a whole,
-without tolerance.
-
-All masks look at the first and the last of their tokens. A window is tested for
-that pair first, and its seeds after that, against a bitmap of the benchmark's
-pairs and seeds. Its size is a parameter and does not grow with the data; the
-join after it is exact, so a full bitmap costs time only. Benchmark seeds are repeated over
-``SALTS`` so that one passage in a third of all documents is spread.
+Texts are lower-cased and split at everything but letters and digits. A seed is
+the hash of some tokens of a short window, chosen by a fixed mask; the window's
+other positions are ignored, so a changed token there loses nothing. Windows of
+twelve, nine and eight tokens have masks (``SHAPES``). Benchmark seeds are joined
+with the seeds of all documents, and each hit is verified around itself: along
+its diagonal (the same shift between document and item) some stretch of 12, 16
+or 20 tokens that holds the hit's window and lies in both texts must agree in
+10, 13 or 16 tokens.
+
+Of all placements of changed tokens in a passage, verification included, are
+found: 12 tokens with 1 change 100 of 100, with 2 90.9; 16 with 3 100; 20 with 4
+99.8; 15 with 3 79.8; 16 with 4 54 (enumerated; a stretch must agree to five
+sixths, 13 of 16 or four fifths, so the last two are mostly beyond it).
+
+An item of 6 to 11 tokens has masks of its own that leave out its first, middle
+or last third, and is verified as a whole with one token that may differ; one of
+up to 5 tokens is sought as it is. All lengths go over a document's tokens
+together, once.
+
+All masks of a span look at the first and the last of their tokens, and those of
+some spans at more of the same. A window is tested for these first, and its seeds after that, against a bitmap of the
+benchmark's keys of that kind and its seeds. Its size is a parameter and does not grow with the
+data; the join after it is exact, so a full bitmap costs time only. The hits are
+written once; a seed that very many documents hold is dealt to a grid of tasks
+(``blockjoin.grid_join``).
 
 Result: one row for each document and benchmark item with a verified overlap:
-n_windows (item positions where a verified window starts), n_tokens (item tokens
+n_windows (item positions where a verified stretch starts), n_tokens (item tokens
 covered by them) and item_tokens.
 
 Defined results: null and empty texts or items overlap with nothing; repeated
-rows of a doc_id or an item_id fall into one row; empty tables give an empty
-result; further columns are never read.
+rows of a doc_id or an item_id fall into one row, and so do all rows of null
+doc_id (callers that must tell them apart give ``keys`` that do); empty tables
+give an empty result; further columns are never read. Very long texts are read
+whole: a text's tokens are one array of longs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import table
+from revlens.operators.blockjoin import grid_join
+
+from .tables import stored, table
 
 SPAN = 12
-#: Token positions that each mask looks at (fixed masks).
-MASKS = (
-    (0, 2, 6, 8, 9, 10, 11),
-    (0, 1, 2, 4, 6, 7, 11),
-    (0, 2, 3, 5, 7, 10, 11),
-    (0, 1, 5, 6, 7, 9, 11),
-)
-AGREE = 10
-SALTS = 16
+#: Token positions that each mask of a span looks at (fixed masks), for items of SPAN tokens and more.
+SHAPES = {
+    12: ((0, 2, 6, 8, 9, 10, 11), (0, 1, 2, 4, 6, 7, 11), (0, 2, 3, 5, 7, 10, 11), (0, 1, 5, 6, 7, 9, 11), (0, 1, 2, 3, 8, 9, 10, 11)),
+    9: ((0, 1, 3, 4, 5, 7, 8),),
+    8: ((0, 1, 2, 3, 4, 5, 6, 7),),
+}
+#: Lengths of the stretches around a hit, and how many of their tokens must agree.
+STRETCHES = {12: 10, 16: 13, 20: 16}
+#: Items of at least so many tokens may differ in one.
+TOLERANT = 6
+REACH = max(STRETCHES) - min(SHAPES)
 BITMAP_BITS = 1 << 24
 
 
+def short_shapes(n: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(span, mask) of an item of n tokens, fewer than SPAN: each leaves out one third, or nothing below TOLERANT tokens."""
+    if n < TOLERANT:
+        return [(n, tuple(range(n)))]
+    third = n // 3
+    ends = tuple(range(third)) + tuple(range(n - third, n))
+    return [(n, ends), (n - third, tuple(range(n - third)))]
+
+
+def shapes_of(n: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(span, mask) of all seeds of an item of n tokens."""
+    return [(span, m) for span, masks in SHAPES.items() for m in masks] if n >= SPAN else short_shapes(n)
+
+
+def _all_shapes(lengths: Sequence[int]) -> dict[int, list[tuple[int, ...]]]:
+    """Masks by span for the item lengths there are; lengths from SPAN on have the same."""
+    out: dict[int, list] = {}
+    for n in lengths:
+        for span, mask in shapes_of(n):
+            if mask not in out.setdefault(span, []):
+                out[span].append(mask)
+    return out
+
+
+#: Masks of every span, whatever lengths there are.
+EVERY = _all_shapes(range(1, SPAN + 1))
+
+
+def stretches_of(n: int) -> dict[int, int]:
+    """Lengths and agreeing tokens that verify a hit on an item of n tokens."""
+    return STRETCHES if n >= SPAN else {n: n - (n >= TOLERANT)}
+
+
 def tokens(text: Column) -> Column:
     """64-bit hashes of a text's tokens."""
     words = F.filter(F.split(F.lower(text.cast("string")), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     return F.coalesce(F.transform(words, lambda x: F.xxhash64(x)), F.array().cast("array<bigint>"))
 
 
-def _spans(lengths: list[int]) -> dict[int, tuple]:
-    """Masks by window length; an item shorter than the usual window is one window of all its tokens."""
-    return {SPAN: MASKS} | {n: (tuple(range(n)),) for n in lengths}
-
-
 def _pair(toks: Column, at: Column, span: int) -> Column:
-    """What is common to all masks of a window: its first and last token."""
-    return F.xxhash64(F.lit(span), F.get(toks, at), F.get(toks, at + (span - 1)))
+    """Of what is common to all masks of a span, the first two and the last two tokens."""
+    common = sorted(set.intersection(*(set(m) for m in EVERY[span])))
+    looked = sorted(set(common[:2] + common[-2:]))
+    return F.xxhash64(F.lit(span), *(F.get(toks, at + p) for p in looked))
 
 
-def _seeds(window: str, span: int, masks) -> Column:
-    """One hash for each mask, of the window's tokens the mask looks at."""
-    positions = F.array(*(F.array(*(F.lit(p) for p in m)) for m in masks))
-    return F.transform(positions, lambda m: F.xxhash64(F.lit(span), F.transform(m, lambda p: F.get(window, p))))
+def _seed(window: Column, first: Column, span: int, mask: tuple[int, ...]) -> Column:
+    """The hash of the tokens a mask looks at, in a window that begins at ``first`` of an array."""
+    return F.xxhash64(F.lit(span), F.lit(" ".join(map(str, mask))), F.transform(F.array(*(F.lit(p) for p in mask)), lambda p: F.get(window, first + p)))
 
 
 def _bit(key: Column, bits: int) -> Column:
@@ -87,44 +132,80 @@ def _set_in(bitmap: Column, key: Column, bits: int) -> Column:
     return F.getbit(F.get(bitmap, (bit / 64).cast("int")), (bit % 64).cast("int")) == 1
 
 
-def item_windows(items: DataFrame, span: int) -> DataFrame:
-    """item_id, item_tokens, item_at, pair and window (token hashes) of the items that windows of this length fit."""
-    rows = items.select("item_id", tokens(F.col("text")).alias("toks")).withColumn("n", F.size("toks"))
-    rows = rows.where(F.col("n") >= span) if span == SPAN else rows.where(F.col("n") == span)
-    at = rows.select("item_id", "toks", "n", F.explode(F.sequence(F.lit(0), F.col("n") - span)).alias("item_at"))
-    return at.select(
-        "item_id", F.col("n").cast("long").alias("item_tokens"), "item_at", _pair(F.col("toks"), F.col("item_at"), span).alias("pair"),
-        F.slice("toks", F.col("item_at") + 1, span).alias("window"),
-    ).distinct()
-
-
-def overlaps(docs: DataFrame, items: DataFrame, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
-    """Verified overlaps of documents with benchmark items."""
-    short = [r.n for r in items.select(F.size(tokens(F.col("text"))).alias("n")).where(f"n between 1 and {SPAN - 1}").distinct().collect()]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens(F.col("text")).alias("toks"))
+def item_seeds(items: DataFrame) -> DataFrame:
+    """item_id, n (tokens), item_at, span, pair, seed, and the item's tokens around: ``around`` from item_at - ``lead`` on."""
+    rows = items.select("item_id", tokens(F.col("text")).alias("toks")).withColumn("n", F.size("toks")).where("n > 0").distinct()
     parts = []
-    for span, masks in _spans(sorted(short)).items():  # at most SPAN lengths
-        windows = item_windows(items, span).withColumn("seeds", _seeds("window", span, masks))
-        known = windows.select(F.posexplode("seeds").alias("mask", "seed"), "item_id", "item_tokens", "item_at", "window")
-        bitmap = _bitmap(windows.select(F.col("pair").alias("key")).union(known.select("seed")), bitmap_bits)
-        # Up to a window's tokens there are only functions with generated code, in little of it: else a
-        # text's tokens would be copied for each of its windows. The explode of one value keeps the
-        # seeds' functions, which have none, out of that step.
-        at = rows.where(F.size("toks") >= span).select("doc_id", "toks", F.explode(F.sequence(F.lit(0), F.size("toks") - span)).alias("at"))
-        at = at.where(_set_in(bitmap, _pair(F.col("toks"), F.col("at"), span), bitmap_bits))
-        own = at.select("doc_id", F.explode(F.array(F.slice("toks", F.col("at") + 1, span))).alias("own"))
-        hits = own.select("doc_id", "own", _seeds("own", span, masks).alias("seeds")).select("doc_id", "own", F.posexplode("seeds").alias("mask", "seed"))
-        hits = hits.where(_set_in(bitmap, F.col("seed"), bitmap_bits)).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-        salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        pairs = hits.join(salted, ["mask", "seed", "salt"])
-        agree = F.size(F.filter(F.zip_with("own", "window", lambda a, b: a == b), lambda x: x))
-        parts.append(pairs.where(agree >= (AGREE if span == SPAN else span)).select("doc_id", "item_id", "item_tokens", "item_at", F.lit(span).alias("span")))
-    found = parts[0]
+    for low, high in [(n, n) for n in range(1, SPAN)] + [(SPAN, None)]:  # a fixed number of small steps over the benchmark
+        own = rows.where(F.col("n") == low) if high else rows.where(F.col("n") >= low)
+        for span, mask in shapes_of(low):
+            at = own.withColumn("item_at", F.explode(F.sequence(F.lit(0), F.col("n") - span)))
+            lead = F.least(F.col("item_at"), F.lit(REACH)).alias("lead")
+            around = F.slice("toks", F.col("item_at") - lead + 1, REACH + max(STRETCHES)).alias("around")
+            toks, begin = F.col("toks"), F.col("item_at")
+            parts.append(at.select("item_id", "n", "item_at", F.lit(span).alias("span"), _pair(toks, begin, span).alias("pair"), _seed(toks, begin, span, mask).alias("seed"), lead, around))
+    out = parts[0]
     for p in parts[1:]:
-        found = found.unionByName(p)
-    starts = found.distinct().groupBy("doc_id", "item_id", "item_tokens").agg(F.collect_list("item_at").alias("starts"), F.max("span").alias("span"))
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("span") - 1))))
-    return starts.select("doc_id", "item_id", F.size("starts").cast("long").alias("n_windows"), F.size(covered).cast("long").alias("n_tokens"), "item_tokens")
+        out = out.unionByName(p)
+    return out.distinct()
+
+
+def hits_of(docs: DataFrame, known: DataFrame, keys: Sequence[str], bitmap_bits: int) -> DataFrame:
+    """(keys, seed, d_lead, d_around) of the document windows whose seed the benchmark may hold."""
+    lengths = [r.n for r in known.select(F.least("n", F.lit(SPAN)).alias("n")).distinct().collect()]  # at most SPAN rows
+    shapes = _all_shapes(sorted(lengths)) or {SPAN: list(SHAPES[SPAN])}
+    bitmap = _bitmap(known.select(F.col("pair").alias("key")).union(known.select("seed")), bitmap_bits)
+    rows = docs.select(*keys, tokens(F.col("text")).alias("toks"))
+    # Up to a window's tokens there are only functions with generated code, in little of it: else a
+    # text's tokens would be copied for each of its windows. The explode of one value keeps the
+    # seeds' functions, which have none, out of that step.
+    at = rows.where(F.size("toks") >= min(shapes)).select(*keys, "toks", F.explode(F.sequence(F.lit(0), F.size("toks") - min(shapes))).alias("at"))
+    tests = {span: _set_in(bitmap, _pair(F.col("toks"), F.col("at"), span), bitmap_bits) & (F.col("at") + span <= F.size("toks")) for span in shapes}
+    passed = [t.alias(f"_{span}") for span, t in tests.items()]
+    some = None
+    for t in tests.values():
+        some = t if some is None else some | t
+    lead = F.least(F.col("at"), F.lit(REACH))
+    around = F.slice("toks", F.col("at") - lead + 1, REACH + max(STRETCHES))
+    own = at.where(some).select(*keys, *passed, lead.alias("d_lead"), F.explode(F.array(around)).alias("d_around"))
+    seeds = [F.when(F.col(f"_{span}"), _seed(F.col("d_around"), F.col("d_lead"), span, m)) for span, masks in shapes.items() for m in masks]
+    out = own.select(*keys, "d_lead", "d_around", F.explode(F.array(*seeds)).alias("seed"))
+    return out.where(F.col("seed").isNotNull() & _set_in(bitmap, F.col("seed"), bitmap_bits))
+
+
+def _verified() -> Column:
+    """Stretches around a hit that agree enough: structs of their item position and length."""
+    lead = F.least("l_d_lead", "r_lead")
+    a = F.slice("l_d_around", F.col("l_d_lead") - lead + 1, REACH + max(STRETCHES))
+    b = F.slice("r_around", F.col("r_lead") - lead + 1, REACH + max(STRETCHES))
+    both = F.least(F.size(a), F.size(b))
+    same = F.zip_with(F.slice(a, F.lit(1), both), F.slice(b, F.lit(1), both), lambda x, y: x == y)
+
+    def of(length: Column | int, need: Column | int) -> Column:
+        length, need = (x if isinstance(x, Column) else F.lit(x) for x in (length, need))
+        first = F.greatest(lead + F.col("r_span") - length, F.lit(0))
+        last = F.least(lead, both - length)
+        starts = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        good = F.filter(starts, lambda s: F.size(F.filter(F.slice(same, s + 1, length), lambda x: x)) >= need)
+        return F.transform(good, lambda s: F.struct((F.col("r_item_at") - lead + s).alias("start"), length.cast("int").alias("length")))
+
+    n = F.col("r_n")
+    whole = of(n, n - F.when(n >= TOLERANT, 1).otherwise(0))
+    return F.when(n >= SPAN, F.concat(*(of(length, need) for length, need in STRETCHES.items()))).otherwise(whole)
+
+
+def overlaps(docs: DataFrame, items: DataFrame, bitmap_bits: int = BITMAP_BITS, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Verified overlaps of documents, told apart by ``keys``, with benchmark items."""
+    keys = list(keys)
+    docs = docs.select(*((F.col(k).cast("long") if k == "doc_id" else F.col(k)).alias(k) for k in keys), "text")
+    known = stored(item_seeds(items), "decontam-items")
+    hits = stored(hits_of(docs, known, keys, bitmap_bits).withColumn("by", F.xxhash64(*keys)), "decontam-hits")
+    met = grid_join(hits, known.drop("pair"), "seed", "by", "item_id")
+    found = met.select(*(F.col(f"l_{k}").alias(k) for k in keys), F.col("r_item_id").alias("item_id"), F.col("r_n").cast("long").alias("item_tokens"), F.inline(_verified()))
+    starts = found.distinct().groupBy(*keys, "item_id", "item_tokens").agg(F.collect_set(F.struct("start", "length")).alias("held"))
+    n_windows = F.size(F.array_distinct(F.transform("held", lambda x: x["start"])))
+    covered = F.array_distinct(F.flatten(F.transform("held", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1))))
+    return starts.select(*keys, "item_id", n_windows.cast("long").alias("n_windows"), F.size(covered).cast("long").alias("n_tokens"), "item_tokens")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -133,30 +214,38 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     toks = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
-    seeds = []
-    for k, m in enumerate(MASKS):
-        key = lambda t, at, m=m: " || ' ' || ".join(f"{t}[{at} + {p + 1}]" for p in m)
-        seeds.append((k, key))
-    doc = " UNION ALL ".join(f"SELECT doc_id, {k} AS mask, {key('t', 'pos')} AS seed, t[pos + 1 : pos + {SPAN}] AS own FROM dpos" for k, key in seeds)
-    item = " UNION ALL ".join(f"SELECT item_id, n, pos, {k} AS mask, {key('t', 'pos')} AS seed, t[pos + 1 : pos + {SPAN}] AS win FROM ipos WHERE n >= {SPAN}" for k, key in seeds)
+    lengths = list(range(1, SPAN + 1))
+    shapes = EVERY
+    key = lambda span, mask, at: f"'{span}:{','.join(map(str, mask))}:' || " + " || ' ' || ".join(f"t[{at} + {p + 1}]" for p in mask)
+    doc = " UNION ALL ".join(
+        f"SELECT doc_id, t, p, {key(span, m, 'p')} AS seed FROM (SELECT doc_id, t, unnest(range(0, len(t) - {span - 1})) AS p FROM d WHERE len(t) >= {span})"
+        for span, masks in shapes.items() for m in masks
+    )
+    item = " UNION ALL ".join(
+        f"SELECT item_id, t, n, q, {span} AS span, {key(span, m, 'q')} AS seed FROM (SELECT item_id, t, n, unnest(range(0, n - {span - 1})) AS q FROM i WHERE n {'>=' if n == SPAN else '='} {n})"
+        for n in lengths for span, m in shapes_of(n)
+    )
+    need = " UNION ALL ".join(
+        [f"SELECT n, {length} AS size, {need} AS need FROM (SELECT DISTINCT n FROM i WHERE n >= {SPAN})" for length, need in STRETCHES.items()]
+        + [f"SELECT {n} AS n, {size} AS size, {need} AS need" for n in range(1, SPAN) for size, need in stretches_of(n).items()]
+    )
     return f"""
 WITH d AS (SELECT doc_id, {toks} AS t FROM documents WHERE text IS NOT NULL),
 i AS (SELECT DISTINCT item_id, {toks} AS t, len({toks}) AS n FROM benchmark WHERE text IS NOT NULL),
-dpos AS (SELECT doc_id, t, unnest(range(0, len(t) - {SPAN - 1})) AS pos FROM d WHERE len(t) >= {SPAN}),
-ipos AS (SELECT item_id, t, n, unnest(range(0, n - {SPAN - 1})) AS pos FROM i WHERE n >= {SPAN}),
 ds AS ({doc}),
 seeds AS ({item}),
-long_hits AS (
-  SELECT DISTINCT ds.doc_id, s.item_id, s.n, s.pos, {SPAN} AS span
-  FROM ds JOIN seeds s ON ds.mask = s.mask AND ds.seed = s.seed
-  WHERE len(list_filter(range(1, {SPAN + 1}), lambda k: ds.own[k] = s.win[k])) >= {AGREE}),
-short_items AS (SELECT item_id, n, array_to_string(t, ' ') AS phrase FROM i WHERE n BETWEEN 1 AND {SPAN - 1}),
-short_hits AS (
-  SELECT DISTINCT d.doc_id, s.item_id, s.n, 0 AS pos, s.n AS span
-  FROM d JOIN short_items s ON contains(' ' || array_to_string(d.t, ' ') || ' ', ' ' || s.phrase || ' ')),
-w AS (SELECT * FROM long_hits UNION ALL SELECT * FROM short_hits),
-cov AS (SELECT doc_id, item_id, n, pos, unnest(range(pos, pos + span)) AS p FROM w)
-SELECT doc_id, item_id, count(DISTINCT pos) AS n_windows, count(DISTINCT p) AS n_tokens, CAST(n AS BIGINT) AS item_tokens
+need AS ({need}),
+hits AS (
+  SELECT DISTINCT ds.doc_id, ds.t AS dt, ds.p, s.item_id, s.t AS it, s.n, s.q, s.span
+  FROM ds JOIN seeds s ON ds.seed = s.seed),
+stretch AS (
+  SELECT hits.*, size, need, unnest(range(span - size, 1)) AS k FROM hits JOIN need USING (n)),
+w AS (
+  SELECT DISTINCT doc_id, item_id, n, q + k AS pos, size FROM stretch
+  WHERE p + k >= 0 AND q + k >= 0 AND p + k + size <= len(dt) AND q + k + size <= n
+    AND len(list_filter(range(1, size + 1), lambda x: dt[p + k + x] = it[q + k + x])) >= need),
+cov AS (SELECT doc_id, item_id, n, pos, unnest(range(pos, pos + size)) AS covered FROM w)
+SELECT doc_id, item_id, count(DISTINCT pos) AS n_windows, count(DISTINCT covered) AS n_tokens, CAST(n AS BIGINT) AS item_tokens
 FROM cov GROUP BY doc_id, item_id, n"""
 
 
