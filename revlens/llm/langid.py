@@ -27,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.operators.customers import salted_join
+
 from .tables import remainder, table
 from .textblocks import SPACE, Block, blocks, mix
 
 BUCKETS = 1 << 16
 UNDETERMINED = "und"
+#: Rows of a language that are ordered for its ``per_lang`` training rows, as a multiple of them.
+WIDER = 4
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -173,6 +177,10 @@ def fit_languages(docs: DataFrame, per_lang: int = 600) -> LanguageModel:
     """Train on documents whose id remainder (crc32 mod 4) is not 2 and whose lang is known."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     own = own.where(F.col("lang").isNotNull() & (remainder("doc_id", 4) != 2)).withColumn("h", F.xxhash64("doc_id"))
+    # A language's rows are cut to a few times ``per_lang`` by their hash before one task orders them.
+    counts = own.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    place = (F.col("h").cast("double") + 2.0**63) / 2.0**64
+    own = salted_join(own, counts, "lang", "doc_id", "inner").where(place <= F.lit(float(WIDER * per_lang)) / F.col("_n"))
     own = own.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= per_lang)
     picked = F.broadcast(own.select("doc_id").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
@@ -205,7 +213,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 ["doc_id", "held_out", "lang_pred", "score", "accepted"],
             )
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder("doc_id", 4) == 2).alias("held_out"), F.col("text").cast("string").alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean")
 
 

@@ -319,7 +319,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder("doc_id", 4) == 2).alias("held_out"), F.col("text").cast("string").alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
