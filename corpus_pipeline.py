@@ -15,7 +15,6 @@ another. An empty table passes all stages.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,11 +42,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that overlap with a benchmark item."""
-    # A null id equals no other: such a row is known by its text.
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
-    found = decontam.overlaps(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    found = found.select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(found, "_key", "left_anti").select(*docs.columns)
+    # A null id equals no other: such a row is known by its text besides. A row without either has no key and no overlap.
+    text = F.col("text").cast("string")
+    key = F.when(F.col("doc_id").isNull() & text.isNotNull(), F.xxhash64(text))
+    name = "text_key"
+    while {name, f"{name}_id", f"{name}_of"} & set(docs.columns):
+        name += "_"
+    found = decontam.overlaps(docs.select("doc_id", key.alias(name), "text"), table(spark, sf_dir, "benchmark"), keys=("doc_id", name))
+    found = found.select(F.col("doc_id").alias(f"{name}_id"), F.col(name).alias(f"{name}_of")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{name}_id")) & F.col(name).eqNullSafe(F.col(f"{name}_of"))
+    return docs.withColumn(name, key).join(found, same, "left_anti").select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +61,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boundary records of the packed sequences."""
+    import public_tokenizers  # only this stage needs the vocabulary files
+
     return packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
