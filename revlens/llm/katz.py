@@ -21,9 +21,9 @@ bigrams goes straight to the lowest level.
 Nothing is sent token by token. Tasks gather the distinct keys of many texts
 with the texts they stand in, in binary columns; a partition meets the counts
 of its keys, and sends on one partial sum for each text, in binary columns again.
-There are several partitions for each of the session's, and a row of a table
-holds at most ``ROW_KEYS`` keys, so that a task's memory stays a small part of
-what the session deals to one partition.
+There is a partition for every ``PART_BYTES`` of text, up to ``FINER`` times the
+session's shuffle partitions, and a row of a table holds at most ``ROW_KEYS``
+keys.
 
 Words are known by the 64-bit hash of their bytes.
 
@@ -50,8 +50,8 @@ SHARE = 1_000_000
 K = 5
 #: Tokens that a task gathers before it sends them on.
 GATHER = 1 << 21
-#: Keys in one row of a table, and partitions for each shuffle partition of the session.
-ROW_KEYS, FINER = 1 << 16, 4
+#: Keys in one row of a table, text of one partition, and partitions for each shuffle partition of the session at most.
+ROW_KEYS, PART_BYTES, FINER = 1 << 16, 8 << 20, 4
 _MOST = 1 << 16  # counts from here on are one when the list is chosen
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token's hash
 START = np.uint64(0x14057B7EF767814F)  # and for that of the start, which is a history only
@@ -64,8 +64,10 @@ _ARROW = pa.schema([pa.field(c, pa.int32() if c in ("r", "kind") else pa.binary(
 MODEL_WORDS, MODEL_PAIRS, MODEL_RARE, MODEL_ALPHA, WORDS, PAIRS, RARE, TEXTS = range(8)
 
 
-def _parts(spark) -> int:
-    return FINER * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _parts(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    most = FINER * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(8, min(most, -(-size // PART_BYTES)))
 
 
 def _own(docs: DataFrame, keep) -> DataFrame:
@@ -408,7 +410,7 @@ def discounts(n: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, share: int = SHARE) -> Model:
     """Count the training rows (crc32 of the id mod 7 is not 2)."""
     spark = docs.sparkSession
-    parts = _parts(spark)
+    parts = _parts(docs)
     train = _own(docs, lambda held: ~held).select("text")
 
     run = _send_counts(parts, lambda b: {MODEL_WORDS: tokens(b)[0]})
@@ -505,7 +507,8 @@ def _send_texts(model: Model):
 
     def flush(words, pairs, rare, texts):
         rows = []
-        uid = np.concatenate([t[0] for t in texts])
+        base, count = texts[0][0][0], sum(len(t[0]) for t in texts)  # texts are numbered one after the other
+        place = np.uint16 if count <= 65536 else np.uint32
         for kind, held in ((WORDS, words), (PAIRS, pairs), (RARE, rare)):
             key, text = (np.concatenate([x[k] for x in held]) for k in (0, 1))
             order = np.argsort(key, kind="stable")
@@ -516,8 +519,7 @@ def _send_texts(model: Model):
                 if len(at):
                     n = size[at]
                     inside = np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    who, place = np.unique(text[inside], return_inverse=True)
-                    rows.append((r, kind, key[begins[at]], n.astype(np.uint32), place.astype(np.uint16 if len(who) <= 65536 else np.uint32), uid[who]))
+                    rows.append((r, kind, key[begins[at]], n.astype(np.uint32), text[inside].astype(place), np.array([base, count])))
         known = [np.concatenate([t[k] for t in texts]) for k in range(7)]
         part = known[0] % parts
         for r in np.unique(part):
@@ -533,6 +535,7 @@ def _send_texts(model: Model):
             ids, held = batch.column(0).fill_null(NO_ID).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
             for b in blocks(batch.column(2)):
                 h, row = tokens(b)
+                row = row.astype(np.int32)
                 own, before = _pair_keys(h, row, vocabulary)
                 rows = b.hi - b.lo
                 listed = own >= 0
@@ -571,41 +574,45 @@ def _score(model: Model):
     def run(batches):
         _, history, alpha, scale, d = shared.value
         known: dict[int, list] = {MODEL_WORDS: [], MODEL_PAIRS: [], MODEL_RARE: [], MODEL_ALPHA: []}
-        sent: dict[int, list] = {WORDS: [], PAIRS: [], RARE: []}
+        sent: dict[tuple[int, int], list] = {}
         for row in _each(batches):
             kind = row["kind"]
             if kind in known:
                 known[kind].append((_unpacked(row["keys"]), np.frombuffer(row["counts"], np.int64 if kind in (MODEL_WORDS, MODEL_PAIRS) else float)))
-            elif kind in sent:
-                sent[kind].append(row)
+            elif kind != TEXTS:
+                sent.setdefault(tuple(np.frombuffer(row["ids"], np.int64).tolist()), []).append(row)
             else:  # what the sender knew of the texts passes through
                 yield pa.RecordBatch.from_pylist([{k: v if isinstance(v, int) else v.to_pybytes() for k, v in row.items()}], schema=_ARROW)
-        sums, size = [], 0
+        tables = {kind: _sorted_table(known.pop(source), np.int64 if kind != RARE else float) for kind, source in ((WORDS, MODEL_WORDS), (PAIRS, MODEL_PAIRS), (RARE, MODEL_RARE))}
         alpha_keys, alphas = _sorted_table(known[MODEL_ALPHA], float)
-        for kind, source in ((WORDS, MODEL_WORDS), (PAIRS, MODEL_PAIRS), (RARE, MODEL_RARE)):
-            table_keys, table_values = _sorted_table(known.pop(source), np.int64 if kind != RARE else float)
-            for row in sent.pop(kind):
-                keys, n, ids = _unpacked(row["keys"]), np.frombuffer(row["counts"], np.uint32).astype(np.int64), np.frombuffer(row["ids"], np.int64)
-                place = np.frombuffer(row["texts"], np.uint16 if len(ids) <= 65536 else np.uint32)
-                c = _found(table_keys, table_values, keys)
-                values = np.zeros((len(ids), 3))
+        sums, size = [], 0
+        for base, count in sorted(sent):  # the rows of one sending together: its texts have one partial sum each
+            values = np.zeros((count, 3))
+            for row in sent.pop((base, count)):
+                keys, n = _unpacked(row["keys"]), np.frombuffer(row["counts"], np.uint32).astype(np.int64)
+                place = np.frombuffer(row["texts"], np.uint16 if count <= 65536 else np.uint32)
+                kind = row["kind"]
+                c = _found(*tables[kind], keys)
+                total = lambda x, place=place, n=n, count=count: np.bincount(place, np.repeat(x, n), count)
                 if kind == WORDS:
-                    values[:, 0] = np.bincount(place, np.repeat(c > 0, n), len(ids))
-                    values[:, 1] = np.bincount(place, np.repeat(np.log10(c + 1.0), n), len(ids))
+                    values[:, 0] += total(c > 0)
+                    values[:, 1] += total(np.log10(c + 1.0))
                     # Every word is the history of one more token.
-                    values[:, 2] = np.bincount(place, np.repeat(_found(alpha_keys, alphas, keys), n), len(ids))
+                    values[:, 2] += total(_found(alpha_keys, alphas, keys))
                 elif kind == RARE:
-                    values[:, 2] = np.bincount(place, np.repeat(c, n), len(ids))
+                    values[:, 2] += total(c)
                 else:
                     h, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
                     own = np.log10(np.maximum(np.where(c <= K, d[np.minimum(c, K)], 1.0) * c * scale[h] / np.maximum(history[h], 1), 1e-300))
                     gain = np.where(c > 0, own - (np.log10(history[w] + 1) - bottom), alpha[h])
-                    values[:, 2] = np.bincount(place, np.repeat(gain, n), len(ids))
-                sums.append((ids, values))
-                size += len(ids)
-                if size >= 2 * GATHER:
-                    yield flush(sums)
-                    sums, size = [], 0
+                    values[:, 2] += total(gain)
+            some = np.flatnonzero(values.any(axis=1))
+            if len(some):
+                sums.append((base + some, values[some]))
+                size += len(some)
+            if size >= GATHER:
+                yield flush(sums)
+                sums, size = [], 0
         if sums:
             yield flush(sums)
 
