@@ -16,8 +16,8 @@ sixths, 13 of 16 or four fifths, so the last two are mostly beyond it).
 
 An item of 6 to 11 tokens has masks of its own that leave out its first, middle
 or last third, and is verified as a whole with one token that may differ; one of
-up to 5 tokens is sought as it is. All lengths go over a document's tokens
-together, once.
+up to 5 tokens is sought as it is. The documents' tokens are gone over four times
+at most, once for each span of the usual masks and once for all short lengths.
 
 All masks of a span look at the first and the last of their tokens, and those of
 some spans at more of the same. A window is tested for these first, and its seeds after that, against a bitmap of the
@@ -156,42 +156,60 @@ def hits_of(docs: DataFrame, known: DataFrame, keys: Sequence[str], bitmap_bits:
     shapes = _all_shapes(sorted(lengths)) or {SPAN: list(SHAPES[SPAN])}
     bitmap = _bitmap(known.select(F.col("pair").alias("key")).union(known.select("seed")), bitmap_bits)
     rows = docs.select(*keys, tokens(F.col("text")).alias("toks"))
+    out = None
+    # A pass for each usual span and one for all others: tests of many spans in one step are too much code to be compiled.
+    for group in [[span] for span in SHAPES] + [[span for span in shapes if span not in SHAPES]]:
+        group = {span: shapes[span] for span in group if span in shapes}
+        if group:
+            part = _group_hits(rows, group, bitmap, keys, bitmap_bits)
+            out = part if out is None else out.unionByName(part)
+    return out.where(F.col("seed").isNotNull() & _set_in(bitmap, F.col("seed"), bitmap_bits))
+
+
+def _group_hits(rows: DataFrame, group: dict[int, list], bitmap: Column, keys: list[str], bitmap_bits: int) -> DataFrame:
+    """The seeds, with the tokens around, of all windows of these spans whose first test passes."""
+    least = min(group)
     # Up to a window's tokens there are only functions with generated code, in little of it: else a
     # text's tokens would be copied for each of its windows. The explode of one value keeps the
     # seeds' functions, which have none, out of that step.
-    at = rows.where(F.size("toks") >= min(shapes)).select(*keys, "toks", F.explode(F.sequence(F.lit(0), F.size("toks") - min(shapes))).alias("at"))
-    tests = {span: _set_in(bitmap, _pair(F.col("toks"), F.col("at"), span), bitmap_bits) & (F.col("at") + span <= F.size("toks")) for span in shapes}
-    passed = [t.alias(f"_{span}") for span, t in tests.items()]
+    at = rows.where(F.size("toks") >= least).select(*keys, "toks", F.explode(F.sequence(F.lit(0), F.size("toks") - least)).alias("at"))
     some = None
-    for t in tests.values():
-        some = t if some is None else some | t
+    for span in group:
+        test = _set_in(bitmap, _pair(F.col("toks"), F.col("at"), span), bitmap_bits)
+        some = test if some is None else some | test
     lead = F.least(F.col("at"), F.lit(REACH))
     around = F.slice("toks", F.col("at") - lead + 1, REACH + max(STRETCHES))
-    own = at.where(some).select(*keys, *passed, lead.alias("d_lead"), F.explode(F.array(around)).alias("d_around"))
-    seeds = [F.when(F.col(f"_{span}"), _seed(F.col("d_around"), F.col("d_lead"), span, m)) for span, masks in shapes.items() for m in masks]
-    out = own.select(*keys, "d_lead", "d_around", F.explode(F.array(*seeds)).alias("seed"))
-    return out.where(F.col("seed").isNotNull() & _set_in(bitmap, F.col("seed"), bitmap_bits))
+    own = at.where(some).select(*keys, lead.alias("d_lead"), F.explode(F.array(around)).alias("d_around"))
+    room = F.size("d_around") - F.col("d_lead")
+    seeds = [F.when(room >= span, _seed(F.col("d_around"), F.col("d_lead"), span, m)) for span, masks in group.items() for m in masks]
+    return own.select(*keys, "d_lead", "d_around", F.explode(F.array(*seeds)).alias("seed"))
 
 
-def _verified() -> Column:
-    """Stretches around a hit that agree enough: structs of their item position and length."""
+def _agreement() -> Column:
+    """Bit REACH + k of a long is set where document and item agree k tokens from the hit's begin."""
     lead = F.least("l_d_lead", "r_lead")
     a = F.slice("l_d_around", F.col("l_d_lead") - lead + 1, REACH + max(STRETCHES))
     b = F.slice("r_around", F.col("r_lead") - lead + 1, REACH + max(STRETCHES))
-    both = F.least(F.size(a), F.size(b))
-    same = F.zip_with(F.slice(a, F.lit(1), both), F.slice(b, F.lit(1), both), lambda x, y: x == y)
+    bits = F.transform(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), lambda same, k: F.when(same, F.call_function("shiftleft", F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")))
+    return F.call_function("shiftleft", F.aggregate(bits, F.lit(0).cast("long"), lambda x, y: x + y), F.lit(REACH) - lead)
 
-    def of(length: Column | int, need: Column | int) -> Column:
-        length, need = (x if isinstance(x, Column) else F.lit(x) for x in (length, need))
-        first = F.greatest(lead + F.col("r_span") - length, F.lit(0))
-        last = F.least(lead, both - length)
-        starts = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-        good = F.filter(starts, lambda s: F.size(F.filter(F.slice(same, s + 1, length), lambda x: x)) >= need)
-        return F.transform(good, lambda s: F.struct((F.col("r_item_at") - lead + s).alias("start"), length.cast("int").alias("length")))
 
-    n = F.col("r_n")
-    whole = of(n, n - F.when(n >= TOLERANT, 1).otherwise(0))
-    return F.when(n >= SPAN, F.concat(*(of(length, need) for length, need in STRETCHES.items()))).otherwise(whole)
+def _verified() -> Column:
+    """Stretches around a hit that agree enough: structs of their item position and length. Reads ``agreement``."""
+    at, n = F.col("r_item_at"), F.col("r_n")
+    low = -F.least("l_d_lead", "r_lead")
+    high = F.least(F.size("l_d_around") - F.col("l_d_lead"), F.size("r_around") - F.col("r_lead"))
+    held = []
+    for length, need in STRETCHES.items():
+        for k in range(min(SHAPES) - length, 1):
+            agreeing = F.bit_count(F.col("agreement").bitwiseAND(F.lit(((1 << length) - 1) << (REACH + k)).cast("long")))
+            inside = (low <= k) & (high >= k + length) & (F.col("r_span") <= k + length)
+            held.append(F.when(inside & (agreeing >= need), F.struct((at + k).alias("start"), F.lit(length).alias("length"))))
+    # An item below SPAN tokens lies within reach of the hit as a whole.
+    agreeing = F.bit_count(F.col("agreement").bitwiseAND(F.expr(f"shiftleft(shiftleft(1L, r_n) - 1L, {REACH} - r_item_at)")))
+    inside = (low <= -at) & (high >= n - at)
+    whole = F.when(inside & (agreeing >= n - F.when(n >= TOLERANT, 1).otherwise(0)), F.struct(F.lit(0).alias("start"), n.alias("length")))
+    return F.when(n >= SPAN, F.array_compact(F.array(*held))).otherwise(F.array_compact(F.array(whole)))
 
 
 def overlaps(docs: DataFrame, items: DataFrame, bitmap_bits: int = BITMAP_BITS, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -201,7 +219,10 @@ def overlaps(docs: DataFrame, items: DataFrame, bitmap_bits: int = BITMAP_BITS,
     known = stored(item_seeds(items), "decontam-items")
     hits = stored(hits_of(docs, known, keys, bitmap_bits).withColumn("by", F.xxhash64(*keys)), "decontam-hits")
     met = grid_join(hits, known.drop("pair"), "seed", "by", "item_id")
-    found = met.select(*(F.col(f"l_{k}").alias(k) for k in keys), F.col("r_item_id").alias("item_id"), F.col("r_n").cast("long").alias("item_tokens"), F.inline(_verified()))
+    least = F.when(F.col("r_n") >= SPAN, min(STRETCHES.values())).otherwise(F.col("r_n") - 1)
+    # Exploded as the one value of an array, the agreement is computed once and not wherever it is read.
+    met = met.withColumn("agreement", F.explode(F.array(_agreement()))).where(F.bit_count("agreement") >= least).withColumn("held", _verified())
+    found = met.select(*(F.col(f"l_{k}").alias(k) for k in keys), F.col("r_item_id").alias("item_id"), F.col("r_n").cast("long").alias("item_tokens"), F.inline("held"))
     starts = found.distinct().groupBy(*keys, "item_id", "item_tokens").agg(F.collect_set(F.struct("start", "length")).alias("held"))
     n_windows = F.size(F.array_distinct(F.transform("held", lambda x: x["start"])))
     covered = F.array_distinct(F.flatten(F.transform("held", lambda x: F.sequence(x["start"], x["start"] + x["length"] - 1))))
