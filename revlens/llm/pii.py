@@ -2,36 +2,46 @@
 
 Base spans come from four patterns (e-mail, IP, card, phone), leftmost and not
 overlapping within a kind, checked as the contract says. A conditional random
-field over word shapes adds spans the patterns miss. It has a label O and
-begin and inside labels for each kind. Words without a digit, ``@`` or ``+``
-are O by definition, so a text falls into independent runs of the other words;
-Viterbi decoding steps through all runs of a block at once in numpy.
-
-The field is trained by AdaGrad on the log-likelihood from a small labelled
-table: the runs of at most ``max_docs`` documents (smallest id hash, a
-documented bound), each word labelled with the base span that covers it.
+field over word shapes adds spans the patterns miss: numbers without a country
+code, addresses spelled out or masked ("name at site dot com", "(at)"), cards of
+13 to 15 digits or with other separators, IPv6, masked octets, and spans a base
+pattern loses to a number beside them. It has a label O and begin and inside
+labels for each kind. Words are O by definition unless they have a digit, ``@``
+or ``+``, stand next to a spelled-out "dot", a bracketed "at" or an ``@`` of its own, or come right
+before such a word (as context); so a text falls into independent runs of the
+other words, and Viterbi decoding steps through all runs of a block at once in
+numpy.
+
+The field is trained by AdaGrad on the log-likelihood of a small labelled table
+(``pii_examples``), whose held-out part it never sees; the corpus is not read
+for it. A span it proposes is added if an exact check of its kind holds (check
+digit, octets, digits of a phone, form of an address, no date).
 
 Added spans never touch a base span. Offsets are code points, end exclusive.
 
-Defined results: a null text counts as empty and has no spans; repeated rows
-give a result row each; without training runs only base spans are found; an
-empty table gives an empty result; further columns are never read (``redact``
-keeps them as they are).
+Defined results: a null text counts as empty and has no spans; a null doc_id
+gives a row of null id; repeated rows give a result row each; a very long text
+is read whole, as one block; an empty table gives an empty result; further
+columns are never read (``redact`` keeps them as they are).
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import first_by_hash, table
-from .textblocks import Block, blocks
+from . import pii_examples
+from .pii_examples import luhn
+from .tables import table
+from .textblocks import LOWER, Block, blocks
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -50,12 +60,57 @@ _CANDIDATE = np.zeros(256, bool)
 _CANDIDATE[[*range(48, 58), ord("@"), ord("+")]] = True
 
 
-def luhn(digits: str) -> bool:
-    total = 0
-    for k, c in enumerate(reversed(digits)):
-        d = int(c) * (1 + k % 2)
-        total += d - 9 if d > 9 else d
-    return total % 10 == 0
+# Spelled-out separators of an address.
+_SPELLED = re.compile(rb"dot|@|[\[({<]at[\])}>]")
+_BRACKETED = re.compile(rb"[\[({<]at[\])}>]")
+_APART = frozenset((b"@", b"dot", b"[dot]", b"(dot)", b"{dot}", b"<dot>"))
+_EDGE = ".,;:!?\"'[]{}*%&$#|<>"
+
+#: Words the field knows by their meaning; all others are known by shape alone.
+CUES = {
+    "at": "at", "dot": "dot", "com org net edu gov io info de fr es uk eu": "top",
+    "call phone tel telephone mobile cell fax whatsapp ring text dial reach telefon handy móvil teléfono téléphone mobil": "phone",
+    "card visa mastercard amex karte kreditkarte tarjeta carte credit charge": "card",
+    "ip host server address ping login attacker blocked": "host",
+    "mail e-mail email write contact reach schreib": "mail",
+    "order invoice isbn part ticket version page pages year section room id serial zip model chapter hash token release build ratio grid price key": "item",
+}
+_CUE = {word: cue for words, cue in CUES.items() for word in words.split()}
+
+_MAIL = re.compile(r"[\w.%+-]+@[\w-]+(\.[\w-]+)*\.[^\W\d_]{2,}")
+_DATE = re.compile(r"[0-9]{1,2}([-./])[0-9]{1,2}\1[0-9]{2,4}|[0-9]{4}([-./])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{4}-[0-9]{4}|[0-9]{1,2}(:[0-9]{2})+")
+_NUMBER = re.compile(r"[0-9()+./\s-]+")
+_CARD_FORM = re.compile(r"[0-9]+([\s./_:-]+[0-9]+)*")
+
+
+def plain_address(text: str) -> str:
+    """An address with its spelled-out separators as signs."""
+    text = re.sub(r"\s*[\[({<]\s*(at|dot)\s*[\])}>]\s*", lambda m: "@" if m[1].lower() == "at" else ".", text, flags=re.I)
+    text = re.sub(r"\s+dot\s+", ".", text, flags=re.I)
+    return re.sub(r"\s+at\s+|\s*@\s*", "@", text, count=1, flags=re.I)
+
+
+@cache
+def _is_v6(text: str) -> bool:
+    try:
+        return ":" in text and ipaddress.ip_address(text).version == 6
+    except ValueError:
+        return False
+
+
+def is_valid(kind: str, text: str) -> bool:
+    """The exact check of a proposed span."""
+    if len(text) > 400:
+        return False
+    digits = "".join(_DIGITS.findall(text))
+    if kind == "email":
+        return _MAIL.fullmatch(plain_address(text)) is not None
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and _CARD_FORM.fullmatch(text) is not None and luhn(digits)
+    if kind == "phone":
+        return 7 <= len(digits) <= 15 and _NUMBER.fullmatch(text) is not None and _DATE.fullmatch(text) is None
+    parts = re.split(r"\.", re.sub(r"\s", "", plain_address(text).replace("[.]", ".").replace("(.)", ".")))
+    return _is_v6(text) or (len(parts) == 4 and all(x.isascii() and x.isdigit() and len(x) < 4 and int(x) <= 255 for x in parts))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -94,21 +149,47 @@ def _shape(word: str) -> str:
 
 
 def word_features(word: str) -> tuple[list[str], str]:
-    """The word's own features and the shape its neighbours see."""
-    inner = word.strip(".,;:!?\"'[]{}*%&$#|<>")
+    """The word's own features and what its neighbours see: its shape, or its cue."""
+    inner = word.strip(_EDGE)
     shape = _shape(inner)
     loose = re.sub(r"\{[0-9]+\}", "", shape)
+    if loose == "a" or _CUE.get(inner.lower().strip("()")):
+        cue = _CUE.get(inner.lower().strip("()"), "none")
+        if cue in ("at", "dot") and inner != word.strip(".,;:!?\"'"):
+            cue = f"[{cue}]"
+        elif cue in ("at", "dot") and inner.startswith("("):
+            cue = f"[{cue}]"
+        return [f"cue:{cue}"], f"cue:{cue}"
     digits = "".join(_DIGITS.findall(inner))
     facts = [f"s:{shape}", f"l:{loose}", f"d:{min(len(digits), 20)}", f"f:{loose[:2]}", f"e:{loose[-2:]}"]
-    if "@" in inner:
-        facts.append(f"at:{'.' in inner.split('@')[-1]}:{inner.count('@')}")
-    if 16 <= len(digits) <= 19:
+    if "@" in inner or _BRACKETED.search(inner.lower().encode()):
+        facts.append(f"at:{_MAIL.fullmatch(plain_address(inner)) is not None}")
+    elif not digits:
+        facts.append(f"name:{'.' in inner}")
+    if 13 <= len(digits) <= 19:
         facts.append(f"luhn:{luhn(digits)}")
+    if inner.count(":") > 1:
+        facts.append(f"v6:{_is_v6(inner)}")
+    if _DATE.fullmatch(inner):
+        facts.append("date")
     if loose == "9.9.9.9":
-        facts.append(f"octets:{all(int(x) <= 255 for x in inner.split('.'))}")
+        facts.append(f"octets:{all(int(x) <= 255 for x in inner.split('.') if len(x) < 9)}")
     return facts, loose
 
 
+#: Places of the neighbours that count for a word's label.
+OFFSETS = (-2, -1, 1, 2)
+
+
+def neighbours(first: np.ndarray):
+    """For each of OFFSETS, the words that have such a neighbour in their run, and those neighbours."""
+    run = np.cumsum(first)
+    for d in OFFSETS:
+        here = np.arange(max(0, -d), len(run) - max(0, d))
+        here = here[run[here] == run[here + d]] if len(here) else here
+        yield here, here + d
+
+
 @dataclass
 class Field:
     """Weights of the random field: rows of label scores by feature, and transitions."""
@@ -116,8 +197,7 @@ class Field:
     own: dict[str, int]
     near: dict[str, int]
     w: np.ndarray  # own features, one row each; the last row is for unknown ones
-    before: np.ndarray  # shapes of the word before
-    after: np.ndarray
+    around: np.ndarray  # what is seen of the words at each of OFFSETS, in the same run
     trans: np.ndarray
     memory: dict = field(default_factory=dict, repr=False)
 
@@ -137,8 +217,8 @@ class Field:
         sizes = np.array([len(ids) for ids, _ in found])
         out = np.add.reduceat(self.w[flat], np.cumsum(sizes) - sizes, axis=0)
         near = np.array([n for _, n in found])
-        out[1:][~first[1:]] += self.before[near[:-1][~first[1:]]]
-        out[:-1][~first[1:]] += self.after[near[1:][~first[1:]]]
+        for weights, (at, there) in zip(self.around, neighbours(first), strict=True):
+            out[at] += weights[near[there]]
         return out
 
     def __getstate__(self):
@@ -209,7 +289,15 @@ def runs_of(b: Block):
     start, end, row = b.words()
     sums = np.zeros(len(b.data) + 1, np.int64)
     np.cumsum(_CANDIDATE[b.data], out=sums[1:])
-    pick = np.flatnonzero(sums[end] > sums[start])
+    use = sums[end] > sums[start]
+    raw = LOWER[b.data].tobytes()
+    for m in _SPELLED.finditer(raw):
+        k = int(np.searchsorted(start, m.start(), side="right")) - 1
+        if m.end() <= end[k] and (m.end() - m.start() > 3 or raw[start[k] : end[k]].strip(b".,;:!?\"'") in _APART):
+            near = np.arange(max(0, k - 5), min(len(start), k + 3))
+            use[near[row[near] == row[k]]] = True
+    use[:-1] |= use[1:] & (row[1:] == row[:-1])  # the word before, as context
+    pick = np.flatnonzero(use)
     first = np.ones(len(pick), bool)
     first[1:] = (np.diff(pick) > 1) | (row[pick][1:] != row[pick][:-1])
     return start[pick], end[pick], row[pick], first
@@ -221,38 +309,38 @@ def _code_points(b: Block) -> np.ndarray:
     return sums
 
 
-def train_field(texts: list[str], epochs: int = 60, rate: float = 0.3, ridge: float = 1e-3) -> Field | None:
+def train_field(labelled: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = 120, rate: float = 0.3, ridge: float = 1e-3) -> Field | None:
+    """The field of texts and their spans (kind, start, end)."""
     words: list[bytes] = []
     gold: list[int] = []
     marks: list[np.ndarray] = []
-    for b in blocks(pa.array(texts, pa.string())):
+    done = 0
+    for b in blocks(pa.array([text for text, _ in labelled], pa.string())):
         start, end, row, first = runs_of(b)
         points, raw = _code_points(b), b.data.tobytes()
-        spans_of: dict[int, list] = {}
         for s, e, r in zip(start.tolist(), end.tolist(), row.tolist(), strict=True):
-            if r not in spans_of:
-                spans_of[r] = base_spans(raw[b.offs[r] : b.offs[r + 1]].decode())
             lo, hi = points[s] - points[b.offs[r]], points[e] - points[b.offs[r]]
             label = 0
-            for kind, x, y in spans_of[r]:
+            for kind, x, y in labelled[done + r][1]:
                 if x < hi and y > lo:
                     label = 1 + 2 * KINDS.index(kind) + (lo > x)
                     break
             words.append(raw[s:e])
             gold.append(label)
         marks.append(first)
+        done += b.hi - b.lo
     if not words:
         return None
     first, y, n = np.concatenate(marks), np.array(gold), len(LABELS)
     facts = [word_features(x.decode("utf-8", "replace")) for x in words]
     own = {x: k for k, x in enumerate(sorted({f for fs, _ in facts for f in fs}))}
     near = {x: k for k, x in enumerate(sorted({s for _, s in facts}))}
-    f = Field(own, near, np.zeros((len(own) + 1, n)), np.zeros((len(near) + 1, n)), np.zeros((len(near) + 1, n)), np.zeros((n, n)))
+    f = Field(own, near, np.zeros((len(own) + 1, n)), np.zeros((len(OFFSETS), len(near) + 1, n)), np.zeros((n, n)))
     flat = np.array([own[x] for fs, _ in facts for x in fs])
     owner = np.repeat(np.arange(len(words)), [len(fs) for fs, _ in facts])
     shape = np.array([near[s] for _, s in facts])
     inside = np.flatnonzero(~first)
-    squares = [np.full_like(m, 1e-6) for m in (f.w, f.before, f.after, f.trans)]
+    squares = [np.full_like(m, 1e-6) for m in (f.w, f.around, f.trans)]
     seen = np.zeros_like(f.trans)
     np.add.at(seen, (np.zeros(first.sum(), int), y[first]), 1)
     last = np.r_[first[1:], True]
@@ -261,16 +349,16 @@ def train_field(texts: list[str], epochs: int = 60, rate: float = 0.3, ridge: fl
     for _ in range(epochs):
         p, moves = _expectations(f.emissions(words, first), first, f.trans)
         p[np.arange(len(y)), y] -= 1
-        grads = [np.zeros_like(f.w), np.zeros_like(f.before), np.zeros_like(f.after), moves - seen]
+        grads = [np.zeros_like(f.w), np.zeros_like(f.around), moves - seen]
         np.add.at(grads[0], flat, p[owner])
-        np.add.at(grads[1], shape[inside - 1], p[inside])
-        np.add.at(grads[2], shape[inside], p[inside - 1])
-        for m, g, q in zip((f.w, f.before, f.after, f.trans), grads, squares, strict=True):
+        for g, (at, there) in zip(grads[1], neighbours(first), strict=True):
+            np.add.at(g, shape[there], p[at])
+        for m, g, q in zip((f.w, f.around, f.trans), grads, squares, strict=True):
             g += ridge * len(y) / 100 * m
             q += g**2
             m -= rate * g / np.sqrt(q)
     f.w[-1] = 0  # an unknown feature says nothing
-    f.before[-1] = f.after[-1] = 0
+    f.around[:, -1] = 0
     return f
 
 
@@ -288,8 +376,8 @@ def _added(b: Block, model: Field) -> dict[int, list[tuple[str, int, int]]]:
         kind, begins = (labels[k] - 1) // 2, labels[k] % 2 == 1
         r = int(row[k])
         text = words[k].decode("utf-8", "replace")
-        lead = len(text) - len(text.lstrip(".,;:!?\"'[]{}*%&$#|<>"))
-        tail = len(text) - len(text.rstrip(".,;:!?\"'()[]{}*%&$#|<>"))
+        lead = len(text) - len(text.lstrip(_EDGE))
+        tail = len(text) - len(text.rstrip(_EDGE + "()"))
         lo = int(points[start[k]] - points[b.offs[r]])
         hi = lo + len(text) - tail
         if hi <= lo + lead:
@@ -309,17 +397,18 @@ def block_spans(b: Block, model: Field | None) -> list[tuple[list, list]]:
     raw = b.data.tobytes()
     out = []
     for r in range(b.hi - b.lo):
-        if not some[r]:
+        if not some[r] and r not in added:
             out.append(([], []))
             continue
-        base = base_spans(raw[b.offs[r] : b.offs[r + 1]].decode())
+        text = raw[b.offs[r] : b.offs[r + 1]].decode()
+        base = base_spans(text)
         if r in added:
             taken = sorted((s, e) for _, s, e in base)
             k, more = 0, []
             for kind, s, e in added[r]:  # in order of start
                 while k < len(taken) and taken[k][1] <= s:
                     k += 1
-                if all(not (x < e and y > s) for x, y in taken[max(0, k - 4) : k + 4]):
+                if is_valid(kind, text[s:e]) and all(not (x < e and y > s) for x, y in taken[max(0, k - 4) : k + 4]):
                     more.append((kind, s, e))
             out.append((base, sorted(base + more, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))))
         else:
@@ -327,11 +416,10 @@ def block_spans(b: Block, model: Field | None) -> list[tuple[list, list]]:
     return out
 
 
-def fit_field(docs: DataFrame, max_docs: int = 8_000) -> Field | None:
-    ids = first_by_hash(docs.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct(), "doc_id", max_docs)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).dropna()
-    rows = texts.join(F.broadcast(ids), "doc_id", "left_semi").where(F.col("text").rlike("[0-9@+]")).toPandas().sort_values(["doc_id", "text"])
-    return train_field(rows["text"].tolist())
+@cache
+def fit_field() -> Field:
+    """The field of the labelled table, without its held-out part."""
+    return train_field([(text, spans) for text, spans, part in pii_examples.examples() if part != pii_examples.HELD])
 
 
 def find_spans(docs: DataFrame, model: Field | None) -> DataFrame:
@@ -392,4 +480,4 @@ def redact(docs: DataFrame, model: Field | None) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return find_spans(docs, fit_field(docs))
+    return find_spans(docs, fit_field())
