@@ -20,10 +20,15 @@ those weights up. A logistic curve over a text's highest word score and its
 number of positive words, fitted on the fifth of the sample that the machine
 did not see, gives the probability.
 
+Words are scored ``SLICE`` symbols at a time, and a longer word in parts whose
+sums are added up, so memory does not grow with a word. Words of more than
+``LEARNED`` bytes are scored but not learned from.
+
 Defined results: null and empty texts have no word and take the curve's lowest
-value; repeated rows give a result row each; without training rows of both
-classes every score is 0; an empty table gives an empty result; further columns
-are never read.
+value; a null doc_id gives a row of null id that is not held out, and is never
+learned from; repeated rows give a result row each; without training rows of
+both classes every score is 0; an empty table gives an empty result; further
+columns are never read.
 """
 
 from __future__ import annotations
@@ -42,6 +47,8 @@ SPAN = 7  # four letters with a sign between all of them
 DECAY = 0.7
 SYMBOLS = 64
 SIZE = 1 << 20  # subsequences are hashed into so many weights
+SLICE = 1 << 16  # symbols scored at a time
+LEARNED = 4096
 
 #: Characters read as the letters they stand for (fixed values).
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -133,6 +140,46 @@ def subsequences(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     return np.concatenate(words), np.concatenate(ids), np.concatenate(weights), np.sqrt(np.maximum(norm, 1e-12))
 
 
+def _slices(length: np.ndarray):
+    """(first word, one past the last, first symbol, one past) of runs of whole words, and of parts of longer words."""
+    ends = np.cumsum(length)
+    k = 0
+    while k < len(length):
+        begin = int(ends[k - 1]) if k else 0
+        to = int(np.searchsorted(ends, begin + SLICE, side="right"))
+        if to > k:
+            yield k, to, 0, int(ends[to - 1]) - begin
+        else:
+            to = k + 1
+            for lo in range(0, int(length[k]), SLICE):
+                yield k, to, lo, min(lo + SLICE, int(length[k]))
+        k = to
+
+
+def word_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Each word's subsequence weights times ``vector``, over the word's norm."""
+    length = end - start + 2
+    out = np.zeros(len(start))
+    for k, to, lo, hi in _slices(length):
+        sizes = length[k:to]
+        at = np.cumsum(sizes) - sizes
+        # the symbols of the slice, and those after it that its subsequences may end in
+        place = np.arange(lo, min(hi + SPAN, int(sizes.sum())))
+        owner = np.searchsorted(at, place, side="right") - 1
+        within = place - at[owner]
+        left = sizes[owner] - within
+        inner = (within > 0) & (left > 1)
+        code = np.where(within == 0, OPENING, CLOSING).astype(np.uint32)
+        code[inner] = SYMBOL[data[(start[k:to][owner] + within - 1)[inner]]]
+        for a, b, c in OFFSETS:
+            p = np.flatnonzero(left[: hi - lo] > c)
+            four = ((code[p] * SYMBOLS + code[p + a]) * SYMBOLS + code[p + b]) * SYMBOLS + code[p + c]
+            ids = (four * np.uint32(2654435761)) >> np.uint32(12)
+            out[k:to] += DECAY ** (c + 1) * np.bincount(owner[p], vector[ids], to - k)
+    norm = sum(np.maximum(length - c, 0) * DECAY ** (2 * c + 2) for _, _, c in OFFSETS)
+    return out / np.sqrt(np.maximum(norm, 1e-12))
+
+
 def word_scores(b: Block, vector: np.ndarray):
     """Score and row of every word of the block."""
     start, end, row = trimmed_words(b)
@@ -140,14 +187,11 @@ def word_scores(b: Block, vector: np.ndarray):
         return np.zeros(0), row
     # Equal words are scored once.
     _, first, back = np.unique(b.hashes(start, end), return_index=True, return_inverse=True)
-    word, ids, weight, norm = subsequences(b.data, start[first], end[first])
-    score = np.bincount(word, vector[ids] * weight, len(first)) / norm
+    score = word_values(b.data, start[first], end[first], vector)
     data, lo, hi, their_row = joined_runs(b, start, end)
     if not len(lo):
         return score[back], row
-    word, ids, weight, norm = subsequences(data, lo, hi)
-    joined = np.bincount(word, vector[ids] * weight, len(lo)) / norm
-    return np.concatenate([score[back], joined]), np.concatenate([row, their_row])
+    return np.concatenate([score[back], word_values(data, lo, hi, vector)]), np.concatenate([row, their_row])
 
 
 def text_features(score: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
@@ -181,13 +225,10 @@ def _kernel_rows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return word, ids, weight / norm[word]
 
 
-def _word_values(words: list[bytes], vector: np.ndarray, step: int = 8192) -> np.ndarray:
-    """Value of every word, some words at a time: their subsequences are many."""
-    out = [np.zeros(0)]
-    for lo in range(0, len(words), step):
-        word, ids, value = _kernel_rows(words[lo : lo + step])
-        out.append(np.bincount(word, vector[ids] * value, len(words[lo : lo + step])))
-    return np.concatenate(out)
+def _word_values(words: list[bytes], vector: np.ndarray) -> np.ndarray:
+    """Value of every word."""
+    end = np.cumsum([len(w) for w in words], dtype=np.int64)
+    return word_values(np.frombuffer(b"".join(words), np.uint8), np.r_[0, end[:-1]], end, vector)
 
 
 def _with_landmarks(words: list[bytes], place: np.ndarray, marks: np.ndarray, step: int = 4096) -> np.ndarray:
@@ -244,6 +285,8 @@ def fit_model(texts: list[str], labels: np.ndarray, n_landmarks: int = 384, turn
     members: list[np.ndarray] = []
     for b in blocks(pa.array(texts, pa.string())):
         start, end, row = trimmed_words(b)
+        short = end - start <= LEARNED
+        start, end, row = start[short], end[short], row[short]
         raw = bytes(b.lower().data)
         own = np.array([kinds.setdefault(raw[s:e], len(kinds)) for s, e in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
         cuts = np.searchsorted(row, np.arange(b.hi - b.lo + 1))
