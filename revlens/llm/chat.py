@@ -8,7 +8,8 @@ mask lists the code-point ranges of the assistant's own texts.
 A dialogue is rendered in segments of at most ``SEGMENT`` messages, so no task
 gathers a conversation of unbounded length; ``text_offset`` is where a segment
 stands in the dialogue, and mask ranges count from the segment's start. Joining
-the segments of a dialogue in order gives its whole text.
+the segments of a dialogue in order gives its whole text. Offsets are summed
+over the segments' sizes alone; no text passes that window.
 
 Defined results: messages are in order of turn, role and text, nulls first; a
 null text is empty, a null role is the speaker ``unknown``; messages without a
@@ -19,7 +20,7 @@ result; further columns are never read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import table
@@ -27,21 +28,27 @@ from .tables import table
 SEGMENT = 128
 
 
+def _segment(column: str) -> Column:
+    """Never null, so that no null filter keeps the two readers of a shuffle apart."""
+    return F.coalesce(F.floor(F.col(column) / SEGMENT), F.lit(0))
+
+
 def perspectives(messages: DataFrame) -> DataFrame:
     """conv_id, perspective, segment, n_messages, n_own, rendered, mask, n_chars and text_offset."""
+    # A struct is never null, and structs of null are equal.
     rows = messages.select(
-        "conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"),
+        F.struct("conv_id").alias("conv"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("part", F.floor(F.col("turn") / SEGMENT))
+    ).withColumn("part", _segment("turn"))
     # Parts hold messages of neighbouring turns; repeated turns can make a part long, so it is cut again by rank.
-    rank = F.row_number().over(Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text")) - 1
-    ranked = rows.withColumn("rank", rank).withColumn("piece", F.floor(F.col("rank") / SEGMENT))
-    speakers = rows.where("role <> 'system'").select(F.col("conv_id").alias("of"), F.col("role").alias("perspective")).distinct()
+    rank = F.row_number().over(Window.partitionBy("conv", "part").orderBy("turn", "role", "text")) - 1
+    ranked = rows.withColumn("rank", rank).withColumn("piece", _segment("rank"))
+    speakers = rows.where("role <> 'system'").select("conv", F.col("role").alias("perspective")).distinct()
     own = F.col("role") == F.col("perspective")
     head = F.when(F.col("role") == "system", "<|system|>\n").when(own, "<|assistant|>\n").otherwise(F.concat(F.lit("<|user name="), "role", F.lit("|>\n")))
-    turns = ranked.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).select(
-        "conv_id", "perspective", "part", "piece", "rank", own.alias("own"), head.alias("head"), "text", F.concat(head, "text", F.lit("<|end|>\n")).alias("line"))
-    key = ["conv_id", "perspective", "part", "piece"]
+    turns = ranked.join(speakers, "conv").select(
+        "conv", "perspective", "part", "piece", "rank", own.alias("own"), head.alias("head"), "text", F.concat(head, "text", F.lit("<|end|>\n")).alias("line"))
+    key = ["conv", "perspective", "part", "piece"]
     listed = turns.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("rank", "own", "head", "text", "line"))).alias("lines"))
     # Where each line starts, from the lines before it; at most SEGMENT lines.
     size = F.length(F.array_join(F.transform("lines", lambda x: x["line"]), ""))
@@ -56,11 +63,12 @@ def perspectives(messages: DataFrame) -> DataFrame:
         *key, F.size("lines").cast("long").alias("n_messages"), F.size(F.filter("lines", lambda x: x["own"])).cast("long").alias("n_own"),
         F.array_join(F.transform("lines", lambda x: x["line"]), "").alias("rendered"), F.array_join(start["mask"], ",").alias("mask"), size.cast("long").alias("n_chars"),
     )
-    order = Window.partitionBy("conv_id", "perspective").orderBy("part", "piece")
-    return out.select(
-        "conv_id", "perspective", (F.row_number().over(order) - 1).cast("long").alias("segment"), "n_messages", "n_own", "rendered", "mask", "n_chars",
+    order = Window.partitionBy("conv", "perspective").orderBy("part", "piece")
+    places = out.select(
+        *key, (F.row_number().over(order) - 1).cast("long").alias("segment"),
         (F.sum("n_chars").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_chars")).cast("long").alias("text_offset"),
     )
+    return out.join(places, key).select("conv.conv_id", "perspective", "segment", "n_messages", "n_own", "rendered", "mask", "n_chars", "text_offset")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
