@@ -26,7 +26,9 @@ Sets are verified on 48 bits of their shingles' hashes.
 Defined results: a text of fewer words than a shingle is one shingle; null,
 empty and blank texts have an empty set and link with nothing; repeated rows and
 equal texts share a component; an empty table gives an empty result; further
-columns are never read.
+columns are never read. Rows link by their texts alone: one doc_id with unlike
+texts may be in several components, and a row of null doc_id has the smallest id
+of its component, or null where there is none. Very long texts are read whole.
 """
 
 from __future__ import annotations

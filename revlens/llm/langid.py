@@ -15,7 +15,8 @@ text is rejected (``accepted`` false) when its calibrated probability is under
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and rejected; repeated rows give a result row each; without training rows every
 text is ``und``; an empty table gives an empty result; further columns are
-never read; rows of null lang are never learned from.
+never read; rows of null lang or doc_id are never learned from; a null doc_id
+gives a row of null id that is not held out. Very long texts are read whole.
 """
 
 from __future__ import annotations

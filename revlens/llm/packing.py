@@ -13,7 +13,8 @@ and probed by every worker) at a fifth of the time; all others by ``tokenizers``
 
 Defined results: a null or empty text is its end id alone; repeated rows are
 packed each; an empty table gives an empty result; further columns are never
-read. A doc_id that stands in several rows has records for each of them.
+read. A doc_id that stands in several rows has records for each of them, and so
+has a null one. Very long texts are encoded whole.
 """
 
 from __future__ import annotations

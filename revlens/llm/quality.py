@@ -12,7 +12,8 @@ Defined results: a null text counts as empty; an empty text has all counts 0
 and fails the base rule; repeated rows give a result row each; without
 labelled rows of both classes there are no trees and every text that passes the
 base rule is kept; an empty table gives an empty result; further columns are
-never read.
+never read. A null doc_id gives a row of null id, and is never learned from. A
+very long text is read whole, in memory of some 50 bytes for each of its own.
 """
 
 from __future__ import annotations

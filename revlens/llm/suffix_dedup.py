@@ -27,6 +27,9 @@ sample with all windows it stands for is a short string (at most
 Defined results: a null text is empty; texts shorter than ``length`` keep all
 bytes; repeated rows (same id and text) count as one document and each get its
 result; an empty table gives an empty result; further columns are never read.
+Rows of null doc_id come before all ids. Of rows of one id with unlike texts,
+the earlier start comes first, and of equal starts the smaller hash of id and
+text. Very long texts are read whole, in parts of ``1 << 24`` bytes that overlap.
 """
 
 from __future__ import annotations
