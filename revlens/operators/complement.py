@@ -16,15 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.customers import salted_join
+from revlens.operators.neighbours import pairs_of_groups, per_customer
 from revlens.operators.triples import MODES
 
 
-def id_hash(user: str = "user_id") -> Column:
+def id_hash(user: str | Column = "user_id") -> Column:
     """A 32-bit hash of an id as a bigint: the first eight hexadecimal digits of its MD5.
 
     Sums of it are exact for up to 2**31 users.
     """
-    return F.conv(F.substring(F.md5(F.col(user).cast("binary")), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5((F.col(user) if isinstance(user, str) else user).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
 def complement_sums(
@@ -77,3 +78,29 @@ def triple_digests(pairs: DataFrame, mode: str = "documented") -> DataFrame:
     return salted_join(positives, per_user, "user_id", "positive_user_id", "inner").select(
         "user_id", "positive_user_id", "n_positive", "n_negative", "negatives_digest"
     )
+
+
+def group_digests(groups: DataFrame, mode: str = "documented") -> DataFrame:
+    """``n_negative`` and ``negatives_digest`` on the rows of the grouped pairs (``neighbour_groups``, a written stage).
+
+    :func:`complement_sums` of pairs that are symmetric, as neighbours are: every
+    neighbour is a user and excluded, so its values are taken from its id where it
+    stands in the list, and no pair is shuffled.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    users = groups.select(F.col("customer_id").alias("user_id")).distinct()
+    n = users.select(F.count(F.lit(1))).scalar() - 1
+    digest = F.coalesce(users.select(F.sum(id_hash())).scalar(), F.lit(0).cast("long")) - id_hash("customer_id")
+    if mode == "documented":
+        listed = F.aggregate("neighbours", F.lit(0).cast("long"), lambda total, x: total + id_hash(x))
+        groups = per_customer(groups, {"_n": F.size("neighbours"), "_digest": listed})
+        n, digest = n - F.col("_n"), digest - F.col("_digest")
+    return groups.select("customer_id", "parts", "neighbours", "n_shared", n.cast("long").alias("n_negative"), digest.cast("long").alias("negatives_digest"))
+
+
+def triple_digests_from_groups(groups: DataFrame, mode: str = "documented") -> DataFrame:
+    """:func:`triple_digests` from the grouped pairs."""
+    pairs = pairs_of_groups(group_digests(groups, mode), "n_negative", "negatives_digest")
+    names = {"customer_id": "user_id", "neighbour_customer_id": "positive_user_id", "n_shared": "n_positive"}
+    return pairs.withColumnsRenamed(names)
