@@ -93,7 +93,8 @@ def group_digests(groups: DataFrame, mode: str = "documented") -> DataFrame:
     n = users.select(F.count(F.lit(1))).scalar() - 1
     digest = F.coalesce(users.select(F.sum(id_hash())).scalar(), F.lit(0).cast("long")) - id_hash("customer_id")
     if mode == "documented":
-        listed = F.aggregate("neighbours", F.lit(0).cast("long"), lambda total, x: total + id_hash(x))
+        kind = groups.schema["customer_id"].dataType
+        listed = F.aggregate("neighbours", F.lit(0).cast("long"), lambda total, x: total + id_hash(x.cast(kind)))
         groups = per_customer(groups, {"_n": F.size("neighbours"), "_digest": listed})
         n, digest = n - F.col("_n"), digest - F.col("_digest")
     return groups.select("customer_id", "parts", "neighbours", "n_shared", n.cast("long").alias("n_negative"), digest.cast("long").alias("negatives_digest"))
