@@ -135,6 +135,8 @@ def _set_in(bitmap: Column, key: Column, bits: int) -> Column:
 def item_seeds(items: DataFrame) -> DataFrame:
     """item_id, n (tokens), item_at, span, pair, seed, and the item's tokens around: ``around`` from item_at - ``lead`` on."""
     rows = items.select("item_id", tokens(F.col("text")).alias("toks")).withColumn("n", F.size("toks")).where("n > 0").distinct()
+    # Written once: each of the steps below would plan the distinct items again.
+    rows = stored(rows, "decontam-tokens")
     parts = []
     for low, high in [(n, n) for n in range(1, SPAN)] + [(SPAN, None)]:  # a fixed number of small steps over the benchmark
         own = rows.where(F.col("n") == low) if high else rows.where(F.col("n") >= low)

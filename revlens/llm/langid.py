@@ -185,8 +185,9 @@ def fit_languages(docs: DataFrame, per_lang: int = 600) -> LanguageModel:
     own = own.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= per_lang)
     picked = F.broadcast(own.select("doc_id").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = texts.where("lang is not null and text is not null").join(picked, "doc_id", "left_semi").toPandas().sort_values(["doc_id", "lang", "text"])
-    return fit_model(rows["text"].tolist(), rows["lang"].tolist())
+    rows = texts.where("lang is not null and text is not null").join(picked, "doc_id", "left_semi").toArrow()
+    rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "lang", "text")])
+    return fit_model(rows["text"].to_pylist(), rows["lang"].to_pylist())
 
 
 def _judge(b: Block, m: LanguageModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
