@@ -194,9 +194,10 @@ def variants(docs: DataFrame, min_count: int = MIN_COUNT, ratio: int = RATIO, pa
     if ratio < 2:
         raise ValueError("ratio must be 2 or more: forms of equal counts could point at each other")
     counted = stored(words(docs, min_count), "variants-words")
+    # Joins of words are merged, not broadcast: the stages' files are a small part of what the driver would hold.
     best = F.min(F.struct((-F.col("n_near")).alias("minus"), F.col("near").alias("near")))
     near = near_pairs(counted, parts).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
-    own = counted.join(near, "word", "left")
+    own = counted.join(near.hint("merge"), "word", "left")
     enough = -F.col("best.minus") >= ratio * F.col("n")
     rows = own.select(
         "word",
@@ -209,8 +210,8 @@ def variants(docs: DataFrame, min_count: int = MIN_COUNT, ratio: int = RATIO, pa
     ends = rows.where("form is not null").select("word", F.col("form").alias("root"))
     for _ in range(math.ceil(math.log2(63 / math.log2(ratio)))):
         step = ends.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        ends = stored(ends.join(step, "root", "left").select("word", F.coalesce("further", "root").alias("root")), "variants-roots")
-    return rows.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+        ends = stored(ends.join(step.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root")), "variants-roots")
+    return rows.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
